@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from claimloom.functions import as_column
+from claimloom.functions import as_column, let
 from claimloom.functions.text import strip
 
 # Fixed value: output form of every date.
@@ -51,26 +51,23 @@ def _two(c: Column) -> Column:
     return F.lpad(c, 2, "0")
 
 
-def parse_datetime(c: Column | str, pivot_year: int | None = None) -> Column:
-    """Timestamp of a date written in any known shape; no zone means UTC; else null.
-
-    A two-digit year is read into the 50 years either side of ``pivot_year``
-    (this year by default). Bare clock times have no date and are null.
-    """
-    pivot = pivot_year or datetime.now(timezone.utc).year
-    text = F.regexp_replace(strip(c), _WEEKDAY, "")
+def _fields(text: Column) -> Column:
+    """The value as year|month|day|clock|am-pm|zone; null in no known shape."""
     fields = F.lit(None).cast("string")
     for pattern, order in reversed(_SHAPES):
         fields = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, order)).otherwise(fields)
+    return fields
+
 
-    part = F.split(fields, r"\|")
+def _iso_text(part: Column, pivot: int) -> Column:
+    """ISO timestamp text of split year|month|day|clock|am-pm|zone."""
     month_word = F.lower(F.substring(part[1], 1, 3))
     month = F.when(part[1].rlike(r"^\d+$"), _two(part[1])).when(
         part[1] != "", _two(((F.instr(F.lit(_MONTHS), month_word) + 2) / 3).cast("int").cast("string"))
     ).otherwise(F.lit("01"))
     day = F.when(part[2] == "", F.lit("01")).otherwise(_two(part[2]))
 
-    short = F.try_to_number(part[0], F.lit("9999")).cast("int") + F.lit(2000)
+    short = part[0].try_cast("int") + F.lit(2000)
     century = F.when(short >= pivot + 50, short - 100).otherwise(short)
     year = F.when(F.char_length(part[0]) == 2, century.cast("string")).otherwise(part[0])
 
@@ -83,10 +80,22 @@ def parse_datetime(c: Column | str, pivot_year: int | None = None) -> Column:
     zone = F.when(part[5].rlike(r"^[+-]\d{4}$"), F.concat(F.substring(part[5], 1, 3), F.lit(":"), F.substring(part[5], 4, 2)))
     zone = zone.when(part[5].rlike(r"^[+-]\d{2}$"), F.concat(part[5], F.lit(":00")))
     zone = zone.when(part[5].rlike(r"^[+-]"), part[5]).otherwise(F.lit("Z"))
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), _two(hour.cast("string")), rest, seconds, zone)
 
-    iso = F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), _two(hour.cast("string")), rest, seconds, zone)
-    stamp = iso.try_cast("timestamp")
-    return F.when(stamp.between(F.lit(EARLIEST).cast("timestamp"), F.lit(LATEST).cast("timestamp")), stamp)
+
+def parse_datetime(c: Column | str, pivot_year: int | None = None) -> Column:
+    """Timestamp of a date written in any known shape; no zone means UTC; else null.
+
+    A two-digit year is read into the 50 years either side of ``pivot_year``
+    (this year by default). Bare clock times have no date and are null.
+    """
+    pivot = pivot_year or datetime.now(timezone.utc).year
+    fields = let(F.regexp_replace(strip(c), _WEEKDAY, ""), _fields)
+    earliest, latest = F.lit(EARLIEST).cast("timestamp"), F.lit(LATEST).cast("timestamp")
+    return let(
+        let(F.split(fields, r"\|"), lambda part: _iso_text(part, pivot)).try_cast("timestamp"),
+        lambda stamp: F.when(stamp.between(earliest, latest), stamp),
+    )
 
 
 def iso_utc(stamp: Column | str) -> Column:
