@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.dates import parse_datetime
+from claimloom.functions.numbers import round_half_even
 from claimloom.functions.ratings import label_from_rating
 from claimloom.functions.urls import PUBLISHER_SITES
 
@@ -49,7 +50,7 @@ def text_coverage(fetched: DataFrame) -> DataFrame:
         F.count_if(F.col("http_status") == 200).alias("fetched_ok"),
         F.count_if(has_text).alias("with_text"),
         F.count_if(F.col("image_url").isNotNull()).alias("with_image"),
-        F.round(F.avg(has_text.cast("int")), 4).alias("text_share"),
+        round_half_even(F.try_divide(F.count_if(has_text), F.count("*")), 4).alias("text_share"),
     )
 
 

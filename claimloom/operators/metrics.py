@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions import as_column
+from claimloom.functions.numbers import exact, exact_mean, exact_sum, round_half_even
 from claimloom.operators.dedup import keep_last
 from claimloom.schema import COUNTERS, DROP_REASONS, RUN_RECORD
 
@@ -22,7 +23,7 @@ STEPS = ("extract", "read", "adapt", "clean", "enrich", "export", "load")
 def pct_valid(exported: Column | str, read: Column | str) -> Column:
     """Share of read rows that were exported, in percent; null when nothing was read."""
     exported, read = as_column(exported), as_column(read)
-    return F.when(read != 0, F.round((100 * exported).cast("double") / read, 2))
+    return F.when(read != 0, round_half_even((100 * exported).cast("double") / read, 2))
 
 
 def merge_phase_metrics(phases: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def merge_phase_metrics(phases: DataFrame) -> DataFrame:
     """
     run = ["source", "run_timestamp"]
     totals = phases.groupBy(*run).agg(
-        F.round(F.sum(F.coalesce("elapsed_seconds", F.lit(0.0))), 4).alias("duration_seconds"),
+        F.coalesce(exact_sum("elapsed_seconds"), F.lit(0.0)).alias("duration_seconds"),
         *[
             F.coalesce(F.sum(F.try_element_at("counts", F.lit(c))), F.lit(0)).cast("long").alias(c)
             for c in COUNTERS
@@ -65,9 +66,9 @@ def overview_kpis(runs: DataFrame) -> DataFrame:
     shown = F.struct("pct_valid", "duration_seconds", "peak_memory_mb")
     per_source = runs.groupBy("source").agg(F.max_by(shown, at).alias("latest"), F.count("*").alias("n"))
     return per_source.agg(
-        F.round(F.avg("latest.pct_valid"), 2).alias("mean_pct_valid"),
-        F.round(F.avg("latest.duration_seconds"), 2).alias("mean_duration_seconds"),
-        F.round(F.avg("latest.peak_memory_mb"), 2).alias("mean_peak_memory_mb"),
+        round_half_even(exact_mean("latest.pct_valid"), 2).alias("mean_pct_valid"),
+        round_half_even(exact_mean("latest.duration_seconds"), 2).alias("mean_duration_seconds"),
+        round_half_even(exact_mean("latest.peak_memory_mb"), 2).alias("mean_peak_memory_mb"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("runs"),
     )
 
@@ -120,9 +121,9 @@ def precision_trend(runs: DataFrame) -> DataFrame:
 def kpi_summary(runs: DataFrame) -> DataFrame:
     return runs.groupBy("source").agg(
         F.count("run_timestamp").alias("runs"),
-        F.round(F.avg("pct_valid"), 2).alias("mean_pct_valid"),
-        F.round(F.avg("duration_seconds"), 2).alias("mean_duration_seconds"),
-        F.round(F.avg("peak_memory_mb"), 2).alias("mean_peak_memory_mb"),
+        round_half_even(exact_mean("pct_valid"), 2).alias("mean_pct_valid"),
+        round_half_even(exact_mean("duration_seconds"), 2).alias("mean_duration_seconds"),
+        round_half_even(exact_mean("peak_memory_mb"), 2).alias("mean_peak_memory_mb"),
     )
 
 
@@ -147,7 +148,7 @@ def speed_alert(runs: DataFrame) -> DataFrame:
     days_before = Window.partitionBy("source").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     daily = (
         timed.groupBy("source", "_day")
-        .agg(F.sum("duration_seconds").alias("s"), F.count("duration_seconds").alias("n"))
+        .agg(F.sum(exact("duration_seconds")).alias("s"), F.count("duration_seconds").alias("n"))
         .select("source", "_day", F.sum("s").over(days_before).alias("s"), F.sum("n").over(days_before).alias("n"))
     )
     same_day = (
@@ -155,16 +156,16 @@ def speed_alert(runs: DataFrame) -> DataFrame:
     )
     zero = F.lit(0)
     history = timed.withColumns({
-        "_s": F.coalesce(F.sum("duration_seconds").over(same_day), zero),
+        "_s": F.coalesce(F.sum(exact("duration_seconds")).over(same_day), zero),
         "_n": F.coalesce(F.count("duration_seconds").over(same_day), zero),
     }).join(daily, ["source", "_day"], "left")
     runs_before = F.col("_n") + F.coalesce("n", zero)
-    mean = F.when(runs_before > 0, (F.col("_s") + F.coalesce("s", zero)) / runs_before)
+    mean = F.when(runs_before > 0, (F.col("_s") + F.coalesce("s", zero)).cast("double") / runs_before)
     return history.withColumn("mean_before", mean).select(
         "source",
         "run_timestamp",
         "duration_seconds",
-        F.round("mean_before", 4).alias("mean_before"),
+        round_half_even("mean_before", 4).alias("mean_before"),
         F.when(F.col("mean_before").isNull(), "no_data")
         .when(F.col("duration_seconds") > SPEED_CRITICAL * F.col("mean_before"), "critical")
         .when(F.col("duration_seconds") >= SPEED_WATCH * F.col("mean_before"), "watch")
@@ -211,5 +212,5 @@ def label_imbalance(claims: DataFrame, rare: float = 0.05) -> DataFrame:
     return (
         per_source.withColumn("extreme", rarest < rare)
         .unpivot(["source", "_all", "extreme"], list(flags), "label", "n")
-        .select("source", "label", "n", F.round(F.col("n") / F.col("_all"), 4).alias("share"), "extreme")
+        .select("source", "label", "n", round_half_even(F.col("n") / F.col("_all"), 4).alias("share"), "extreme")
     )

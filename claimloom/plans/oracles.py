@@ -88,6 +88,20 @@ def unescape(x):
     return x
 
 
+def rounded(x, digits):
+    """Nearest with ties to even, on the scaled value."""
+    return f"round_even(({x}) * 1e{digits}, 0) / 1e{digits}"
+
+
+def total(x):
+    """Sum of a recorded figure (at most four decimals), the same in any row order."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(28, 4))) AS DOUBLE)"
+
+
+def mean(x):
+    return f"{total(x)} / count({x})"
+
+
 KILL = (
     r"(?is)<script.*?</script\s*>|<style.*?</style\s*>|<noscript.*?</noscript\s*>|<!--.*?-->"
 )
@@ -434,14 +448,14 @@ SQL = {
         WHERE guid IS NULL OR guid NOT IN (SELECT guid FROM {stored_posts} WHERE guid IS NOT NULL)""",
     "stream_curate": f"SELECT {STORED_COLUMNS} FROM ({curated_reviews()})",
     # run metrics
-    "merge_phase_metrics": """
+    "merge_phase_metrics": f"""
         WITH phase AS (
           SELECT *, n - n_text - n_copy - n_label AS kept,
-            row_number() OVER (PARTITION BY source, run_timestamp ORDER BY phase_no DESC) AS from_last FROM {phases})
-        SELECT source, run_timestamp, round(sum(elapsed_seconds), 4) AS duration_seconds,
+            row_number() OVER (PARTITION BY source, run_timestamp ORDER BY phase_no DESC) AS from_last FROM {{phases}})
+        SELECT source, run_timestamp, {total('elapsed_seconds')} AS duration_seconds,
           CAST(sum(n) AS BIGINT) AS rows_read, CAST(sum(kept) AS BIGINT) AS rows_exported,
           CAST(sum(kept) AS BIGINT) AS rows_loaded,
-          round(CAST(100 * sum(kept) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 2) AS pct_valid,
+          {rounded('CAST(100 * sum(kept) AS DOUBLE) / CAST(sum(n) AS DOUBLE)', 2)} AS pct_valid,
           CAST(sum(n_text) AS BIGINT) AS rows_dropped_missing_text,
           CAST(sum(n_copy) AS BIGINT) AS rows_dropped_duplicate,
           CAST(sum(n_label) AS BIGINT) AS rows_dropped_label,
@@ -453,8 +467,8 @@ SQL = {
         FROM phase GROUP BY source, run_timestamp""",
     "latest_run_per_source": f"SELECT {RUN_COLUMNS} FROM ({LATEST})",
     "overview_kpis": f"""
-        SELECT round(avg(pct_valid), 2) AS mean_pct_valid, round(avg(duration_seconds), 2) AS mean_duration_seconds,
-          round(avg(peak_memory_mb), 2) AS mean_peak_memory_mb,
+        SELECT {rounded(mean('pct_valid'), 2)} AS mean_pct_valid, {rounded(mean('duration_seconds'), 2)} AS mean_duration_seconds,
+          {rounded(mean('peak_memory_mb'), 2)} AS mean_peak_memory_mb,
           (SELECT count(*) FROM {{runs}}) AS runs FROM ({LATEST})""",
     "health_badge": f"SELECT source, run_timestamp, {HEALTH} AS health FROM {{runs}}",
     "drop_reasons_long": f"""
@@ -470,19 +484,20 @@ SQL = {
     "precision_trend": """
         SELECT source, run_timestamp, pct_valid FROM {runs}
         QUALIFY count(*) OVER (PARTITION BY source) > 1 ORDER BY source, run_timestamp""",
-    "kpi_summary": """
-        SELECT source, count(*) AS runs, round(avg(pct_valid), 2) AS mean_pct_valid,
-          round(avg(duration_seconds), 2) AS mean_duration_seconds,
-          round(avg(peak_memory_mb), 2) AS mean_peak_memory_mb FROM {runs} GROUP BY source""",
+    "kpi_summary": f"""
+        SELECT source, count(*) AS runs, {rounded(mean('pct_valid'), 2)} AS mean_pct_valid,
+          {rounded(mean('duration_seconds'), 2)} AS mean_duration_seconds,
+          {rounded(mean('peak_memory_mb'), 2)} AS mean_peak_memory_mb FROM {{runs}} GROUP BY source""",
     "run_history": f"""
         SELECT {RUN_COLUMNS} FROM {{runs}} WHERE source IN ('click', 'view', 'error') ORDER BY run_timestamp DESC, source""",
     "runs_overview": "SELECT count(*) AS runs, count(DISTINCT source) AS sources FROM {runs}",
-    "speed_alert": """
+    "speed_alert": f"""
         WITH history AS (
-          SELECT source, run_timestamp, duration_seconds, avg(duration_seconds) OVER (
-            PARTITION BY source ORDER BY run_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m
-          FROM {runs})
-        SELECT source, run_timestamp, duration_seconds, round(m, 4) AS mean_before,
+          SELECT source, run_timestamp, duration_seconds,
+            CAST(sum(CAST(duration_seconds AS DECIMAL(28, 4))) OVER earlier AS DOUBLE) / count(*) OVER earlier AS m
+          FROM {{runs}} WINDOW earlier AS (
+            PARTITION BY source ORDER BY run_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT source, run_timestamp, duration_seconds, {rounded('m', 4)} AS mean_before,
           CASE WHEN m IS NULL THEN 'no_data' WHEN duration_seconds > 5 * m THEN 'critical'
             WHEN duration_seconds >= 2 * m THEN 'watch' ELSE 'good' END AS alert FROM history""",
     "cost_alert": """
@@ -506,7 +521,7 @@ SQL = {
             (SELECT DISTINCT source FROM ({CURATED})) s CROSS JOIN (VALUES ('fake'), ('true')) l(label)
             LEFT JOIN (SELECT source AS source_, label AS label_ FROM ({CURATED})) c ON source_ = source AND label_ = label
           GROUP BY source, label)
-        SELECT source, label, n, round(n / sum(n) OVER (PARTITION BY source), 4) AS share,
+        SELECT source, label, n, {rounded('n / sum(n) OVER (PARTITION BY source)', 4)} AS share,
           min(n) OVER (PARTITION BY source) / sum(n) OVER (PARTITION BY source) < 0.05 AS extreme FROM counted""",
     # exploration
     "status_histogram": "SELECT http_status, count(*) AS n FROM {fetched_pages} GROUP BY http_status",
@@ -525,7 +540,7 @@ SQL = {
         WHERE {ALIVE} GROUP BY file""",
     "text_coverage": f"""
         SELECT count(*) AS rows, count(*) FILTER (http_status = 200) AS fetched_ok, count(article_text) AS with_text,
-          count(image_url) AS with_image, round(count(article_text) / count(*), 4) AS text_share FROM ({PAGE_CONTENT})""",
+          count(image_url) AS with_image, {rounded('count(article_text) / count(*)', 4)} AS text_share FROM ({PAGE_CONTENT})""",
     "preview_rows": f"""
         SELECT input_order, url, article_text FROM ({PAGE_CONTENT}) WHERE article_text IS NOT NULL
         ORDER BY input_order LIMIT 5""",
