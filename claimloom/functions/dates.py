@@ -32,6 +32,8 @@ _TIME = rf"(?:,?[ T]+(?:at +)?{_CLOCK}\s*([ap]m)?\s*{_ZONE}?)?\z"
 _DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
 _YEAR = r"(\d{4}|\d{2})"
 
+_ISO = r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:\d{2})?)?\z"
+
 # Shape -> the same value as year|month|day|clock|am-pm|zone.
 _SHAPES = (
     (rf"(?i)\A(\d{{4}})-(\d{{1,2}})(?:-(\d{{1,2}}))?{_TIME}", "$1|$2|$3|$4|$5|$6"),
@@ -90,11 +92,16 @@ def parse_datetime(c: Column | str, pivot_year: int | None = None) -> Column:
     (this year by default). Bare clock times have no date and are null.
     """
     pivot = pivot_year or datetime.now(timezone.utc).year
-    fields = let(F.regexp_replace(strip(c), _WEEKDAY, ""), _fields)
     earliest, latest = F.lit(EARLIEST).cast("timestamp"), F.lit(LATEST).cast("timestamp")
+
+    def rewritten(text: Column) -> Column:
+        fields = let(F.regexp_replace(text, _WEEKDAY, ""), _fields)
+        return let(F.split(fields, r"\|"), lambda part: _iso_text(part, pivot))
+
+    # Already ISO, by far the most frequent shape, needs no rewriting.
+    iso = let(strip(c), lambda text: F.when(text.rlike(_ISO), text).otherwise(rewritten(text)))
     return let(
-        let(F.split(fields, r"\|"), lambda part: _iso_text(part, pivot)).try_cast("timestamp"),
-        lambda stamp: F.when(stamp.between(earliest, latest), stamp),
+        iso.try_cast("timestamp"), lambda stamp: F.when(stamp.between(earliest, latest), stamp)
     )
 
 

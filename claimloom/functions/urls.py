@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from claimloom.functions import as_column
+from claimloom.functions import as_column, let
 from claimloom.functions.text import WS, strip
 
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"
@@ -30,41 +30,38 @@ PUBLISHER_SITES = (
 )
 
 
-def _without_breaks(url: Column) -> Column:
-    # URL parsers skip tabs and line breaks wherever they stand.
-    return F.translate(url, "\t\r\n", "")
-
-
-def _authority(url: Column) -> Column:
-    return F.regexp_extract(_without_breaks(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)
-
-
 def prefix_url_scheme(c: Column | str) -> Column:
     """Stripped address with https:// put before one that has no scheme; blank is null."""
-    url = F.nullif(strip(c), F.lit(""))
-    return F.when(url.rlike(SCHEME), url).otherwise(F.concat(F.lit("https://"), url))
-
+    return let(
+        F.nullif(strip(c), F.lit("")),
+        lambda url: F.when(url.rlike(SCHEME), url).otherwise(F.concat(F.lit("https://"), url)),
+    )
 
-def normalize_url(c: Column | str) -> Column:
-    """``prefix_url_scheme``, but null unless an authority part follows the scheme.
 
-    An authority with an unpaired square bracket cannot be parsed and is null too.
-    """
-    url = prefix_url_scheme(c)
-    host = _authority(url)
-    return F.when((host != "") & (F.contains(host, F.lit("[")) == F.contains(host, F.lit("]"))), url)
+def _has_authority(url: Column) -> Column:
+    # Tabs and line breaks inside an address do not count. An unpaired bracket cannot be parsed.
+    paired = F.contains(url, F.lit("[")) | F.contains(url, F.lit("]"))
+    unpaired = r"[^/?#\]]*\[[^/?#\]]*(?:[/?#]|\z)|[^/?#\[]*\][^/?#\[]*(?:[/?#]|\z)"
+    return url.rlike(rf"{SCHEME}[\t\r\n]*[^/?#\t\r\n]") & (~paired | ~url.rlike(rf"{SCHEME}(?:{unpaired})"))
 
 
-def _path(url: Column) -> Column:
-    path = F.regexp_extract(_without_breaks(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    bare = F.regexp_replace(path, r";[^/]*\z", "")
-    return F.when(url.rlike(rf"^(?i)(?:{'|'.join(PARAM_SCHEMES)})://"), bare).otherwise(path)
+def normalize_url(c: Column | str) -> Column:
+    """``prefix_url_scheme``, but null unless a readable authority part follows the scheme."""
+    return let(prefix_url_scheme(c), lambda url: F.when(_has_authority(url), url))
 
 
 def is_image_url(normalized: Column | str) -> Column:
     """Whether the path of an already normalised address ends like an image file; null is false."""
-    path = F.lower(_path(as_column(normalized)))
-    return F.coalesce(path.rlike(rf"\.(?:{'|'.join(IMAGE_EXTENSIONS)})\z"), F.lit(False))
+    def ends_like_image(url: Column) -> Column:
+        extensions = "|".join(IMAGE_EXTENSIONS)
+        plain = url.rlike(rf"(?i)^[^:]*://[^/?#]*/[^?#]*\.(?:{extensions})(?:[?#]|\z)")
+        before_params = url.rlike(rf"(?i)^[^:]*://[^/?#]*/(?:[^?#]*/)?[^/?#;]*\.(?:{extensions})(?:;[^/?#]*)?(?:[?#]|\z)")
+        takes_params = url.rlike(rf"(?i)^(?:{'|'.join(PARAM_SCHEMES)})://[^?#]*;")
+        return F.when(takes_params, before_params).otherwise(plain)
+
+    # Parsers skip tabs and line breaks wherever they stand.
+    url = let(as_column(normalized), lambda u: F.when(u.rlike(r"[\t\r\n]"), F.translate(u, "\t\r\n", "")).otherwise(u))
+    return F.coalesce(let(url, ends_like_image), F.lit(False))
 
 
 def validate_image_url(c: Column | str) -> Column:
@@ -98,7 +95,7 @@ def resolve_url(base: Column | str, link: Column | str) -> Column:
     """``link`` as a browser on page ``base`` would follow it."""
     base, link = as_column(base), as_column(link)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
-    root = F.concat(scheme, F.lit("://"), _authority(base))
+    root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^[^:]*://[^/?#]*([^?#]*)", 1)
     folder = F.coalesce(F.nullif(F.regexp_extract(page, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
     link_path = F.regexp_extract(link, r"^([^?#]*)", 1)

@@ -66,8 +66,15 @@ def drop_unlabeled(df: DataFrame) -> DataFrame:
 
 
 def survivors(df: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
-    """Rows with cleaned keys that no cleaning step drops."""
-    return drop_unlabeled(dedup_keep_first(drop_missing_text(df), order))
+    """Rows with cleaned keys that no cleaning step drops.
+
+    An unlabelled row can only keep later copies out, so it is shuffled without
+    its texts.
+    """
+    present = drop_missing_text(df)
+    fate = {DATASET, *order, "claim_text", "article_url", "label"}
+    slim = {c: F.when(F.col("label").isNotNull(), F.col(c)) for c in present.columns if c not in fate}
+    return drop_unlabeled(dedup_keep_first(present.withColumns(slim), order))
 
 
 def clean_claims(df: DataFrame, order: Sequence[str] = (ORDER,), pivot_year: int | None = None) -> DataFrame:
