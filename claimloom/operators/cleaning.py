@@ -82,14 +82,14 @@ def clean_claims(df: DataFrame, order: Sequence[str] = (ORDER,), pivot_year: int
     return clean_payload(survivors(clean_keys(df), order), pivot_year)
 
 
-def drop_counts(df: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
+def drop_counts(df: DataFrame, order: Sequence[str] = (ORDER,), cleaned: bool = False) -> DataFrame:
     """Rows read, dropped per reason and kept, per input, in one pass.
 
-    Counts per key are combined before the shuffle, so neither a hot key nor the
+    ``df`` is adapted, or has its keys ``cleaned`` already. Counts per key are combined before the shuffle, so neither a hot key nor the
     article texts travel.
     """
     within = _within(df)
-    keyed = clean_keys(df)
+    keyed = df if cleaned else clean_keys(df)
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     per_key = (
         keyed.withColumn("_key", F.when(F.col("claim_text").isNotNull(), dedup_key(keyed)))

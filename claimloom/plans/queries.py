@@ -8,6 +8,7 @@ folder and reads them back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,13 @@ from claimloom.functions.urls import (
     image_file_name, last_url_in_text, normalize_url, prefix_url_scheme, validate_image_url,
 )
 from claimloom.operators import explore, incremental, metrics, pages, quality, sampling, upsert
-from claimloom.operators.adapters import ADAPTERS, DATASET, ORDER, adapt, offending_labels
+from claimloom.operators.adapters import DATASET, ORDER, adapt, offending_labels
 from claimloom.operators.cleaning import (
     clean_claims, clean_keys, dedup_keep_first, drop_counts, drop_missing_text, drop_unlabeled,
 )
 from claimloom.operators.dedup import distinct_reviews
 from claimloom.operators.enrich import enrich_claims, stamp_ingested_at
-from claimloom.plans.curate import PhaseTimer, curate_claims
+from claimloom.plans.curate import PhaseTimer, adapt_all, curate_claims
 from claimloom.plans.fixtures import AS_OF, PIVOT_YEAR, VIEWS, view
 from claimloom.plans.load import read_star
 from claimloom.schema import CLAIM_PAYLOAD, PHASE_SNAPSHOT, RAW_ARTICLES, RAW_REVIEWS, RUN_RECORD, project
@@ -78,8 +79,11 @@ def enriched_reviews(spark, sf_dir, name="raw_reviews") -> DataFrame:
     return enrich_claims(clean_claims(adapted_reviews(spark, sf_dir, name), pivot_year=PIVOT_YEAR), AS_OF)
 
 
-def stored_claims(spark, sf_dir) -> DataFrame:
-    return upsert.sink_values(enriched_reviews(spark, sf_dir))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a written table: a plan used more than once is not run again each time."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def phases(spark, sf_dir) -> DataFrame:
@@ -287,13 +291,12 @@ def adapt_labeled_articles(spark, sf_dir):
 
 @query
 def adapter_registry(spark, sf_dir):
-    """Rows per registered collection."""
-    counted = None
-    for name, raw in collections(spark, sf_dir).items():
-        rows = adapt(raw.withColumn(DATASET, F.lit(name)), name).select(DATASET, "source")
-        counted = rows if counted is None else counted.unionByName(rows)
-    assert set(collections(spark, sf_dir)) < set(ADAPTERS)
-    return counted.groupBy(DATASET, "source").agg(F.count("*").alias("n"))
+    """Rows per registered collection, each through the adapter of its name."""
+    adapted = [
+        adapt(raw.withColumn(DATASET, F.lit(name)), name).select(DATASET, "source")
+        for name, raw in collections(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, adapted).groupBy(DATASET, "source").agg(F.count("*").alias("n"))
 
 
 @query
@@ -369,11 +372,8 @@ def drop_unlabeled_(spark, sf_dir):
 
 @query
 def drop_counts_(spark, sf_dir):
-    counted = None
-    for name, raw in collections(spark, sf_dir).items():
-        one = drop_counts(adapt(raw, name).withColumn(DATASET, F.lit(name)))
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    """All collections in one grouping."""
+    return drop_counts(adapt_all(collections(spark, sf_dir)), cleaned=True)
 
 
 @query
@@ -429,7 +429,8 @@ def schema_issues(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
-    rows = enrich_claims(clean_keys(adapted_reviews(spark, sf_dir)), AS_OF)
+    """Reviews as a load finds them, written but neither filtered nor complete; one publisher is unknown."""
+    rows = written(enrich_claims(clean_keys(adapted_reviews(spark, sf_dir)), AS_OF), "unchecked")
     known = view(spark, sf_dir, "raw_reviews").select(F.col("review_publisher_name").alias("name")).distinct()
     sources = rows.select(F.col("source").alias("name")).distinct()
     bad = quality.constraint_violations(rows, sources, known.filter(F.col("name") != "src7"), spread_by=(ORDER,))
@@ -478,10 +479,10 @@ def upsert_publisher_dim(spark, sf_dir):
 
 @query
 def upsert_claims(spark, sf_dir):
-    """Curated reviews, then the same reviews extracted again with other verdicts."""
-    return upsert.upsert_claims(
-        stored_claims(spark, sf_dir), enriched_reviews(spark, sf_dir, "raw_reviews_again")
-    )
+    """Stored reviews, then the same reviews extracted again with other verdicts."""
+    stored = written(upsert.sink_values(enriched_reviews(spark, sf_dir)), "stored")
+    batch = written(enriched_reviews(spark, sf_dir, "raw_reviews_again"), "batch")
+    return upsert.upsert_claims(stored, batch)
 
 
 @query
