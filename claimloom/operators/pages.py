@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.html import article_text, preview_image
+from claimloom.functions.html_tree import article_text_nested
 from claimloom.functions.text import MIN_ARTICLE_CHARS, min_length
 from claimloom.operators.adapters import ORDER
 from claimloom.operators.dedup import keep_first
@@ -21,12 +22,15 @@ from claimloom.schema import RAW_LINKS
 DEAD_STATUSES = (404, 410)
 
 
-def page_content(pages: DataFrame, min_chars: int = MIN_ARTICLE_CHARS) -> DataFrame:
-    """Article text and preview image per page; both null unless the answer was 200."""
+def page_content(pages: DataFrame, min_chars: int = MIN_ARTICLE_CHARS, nested: bool = False) -> DataFrame:
+    """Article text and preview image per page; both null unless the answer was 200.
+
+    ``nested`` repeats the paragraphs inside an unclosed one, as a tree parser does.
+    """
     body = F.when(F.col("http_status") == 200, F.col("html"))
     # min_length names the text twice: its own step computes it once.
     return pages.withColumns({
-        "article_text": article_text(body),
+        "article_text": article_text_nested(body) if nested else article_text(body),
         "image_url": preview_image(body, "url"),
     }).withColumn("article_text", min_length("article_text", min_chars)).drop("html")
 
@@ -56,6 +60,7 @@ def attach_page_text(
     page_order: Sequence[str] = (ORDER,),
     spread_by: Sequence[str] = (ORDER,),
     min_chars: int = MIN_ARTICLE_CHARS,
+    nested: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Claims with http_status, article_text and image_url of their page; nulls without address or page.
@@ -63,7 +68,7 @@ def attach_page_text(
     A page is parsed once however many claims point at it.
     """
     one_each = keep_first(pages.filter(F.col("url").isNotNull()), ["url"], page_order)
-    content = page_content(one_each, min_chars).select(
+    content = page_content(one_each, min_chars, nested).select(
         F.col("url").alias(url), "http_status", "article_text", "image_url"
     )
     fetched = [c for c in ("http_status", "article_text", "image_url") if c in claims.columns]

@@ -116,6 +116,21 @@ def article(html):
     return strip(rf"regexp_replace(array_to_string({lines}, chr(10)), '\n{{2,}}', chr(10), 'g')")
 
 
+def nested_article(html):
+    """As ``article``, but a paragraph without end tag holds the rest of the article."""
+    visible = f"regexp_replace({html}, '{KILL}', '<>', 'g')"
+    scope = rf"regexp_extract({visible}, '(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>', 1)"
+    pieces = rf"string_split_regex({scope}, '(?i)<p(?:\s[^>]*)?>')[2:]"
+    held = (
+        r"CASE WHEN regexp_matches(pieces[i], '(?i)</p\s*>') THEN regexp_replace(pieces[i], '(?is)</p\s*>.*', '') "
+        "ELSE array_to_string(pieces[i:], '<>') END"
+    )
+    parts = f"list_transform(string_split_regex({held}, '(?s)<[^>]*>'), lambda s: {strip(unescape('s'))})"
+    line = f"array_to_string(list_filter({parts}, lambda s: s <> ''), ' ')"
+    lines = f"list_transform(range(1, len(pieces) + 1), lambda i: {line})"
+    return pieces, strip(rf"regexp_replace(array_to_string({lines}, chr(10)), '\n{{2,}}', chr(10), 'g')")
+
+
 def image(html, base):
     def meta(pattern):
         return f"nullif(regexp_extract({html}, '{pattern}', 1), '')"
@@ -306,6 +321,9 @@ SQL = {
         WHERE {stamp('review_date')} >= TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 180 DAYS""",
     # pages
     "extract_article_text": f"SELECT page_id, {article('html')} AS article_text FROM {{pages}}",
+    "extract_article_text_nested": f"""
+        SELECT page_id, {nested_article('html')[1]} AS article_text
+        FROM (SELECT page_id, {nested_article('html')[0]} AS pieces FROM {{pages}})""",
     "min_text_length_gate": f"SELECT conv_id, turn, {gated('text')} AS text FROM {{conversations}}",
     "extract_preview_image": f"SELECT input_order, {image('html', 'url')} AS image_url FROM {{fetched_pages}}",
     "non_ok_page_nulls": PAGE_CONTENT,

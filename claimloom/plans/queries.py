@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.dates import iso_utc, normalize_datetime
 from claimloom.functions.html import article_text, preview_image
+from claimloom.functions.html_tree import article_text_nested
 from claimloom.functions.ids import record_id
 from claimloom.functions.ratings import label_from_rating
 from claimloom.functions.text import clean_text, min_length, na_tokens_to_null, text_length
@@ -230,6 +231,12 @@ def extract_article_text(spark, sf_dir):
     return view(spark, sf_dir, "pages").select("page_id", article_text("html").alias("article_text"))
 
 
+@query
+def extract_article_text_nested(spark, sf_dir):
+    """The same with unclosed paragraphs nested, as a tree parser reads them."""
+    return view(spark, sf_dir, "pages").select("page_id", article_text_nested("html").alias("article_text"))
+
+
 @query
 def min_text_length_gate(spark, sf_dir):
     text = view(spark, sf_dir, "conversations").select("conv_id", "turn", "text")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimloom.functions.html import article_text, preview_image, unescape
+from claimloom.functions.html_tree import article_text_nested
 from claimloom.operators.joins import hot_keys, skew_join
 from claimloom.operators.pages import attach_page_text, dead_links, drop_dead_links, page_content, prune_source_dead_rows
 
@@ -34,6 +35,33 @@ def test_article_text(spark, page, want):
     assert df.select(article_text("h")).first()[0] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (None, None),
+    ("<p>a<p>b</p>c</p>d", "a b c\nb"),
+    ("<article><p>a<b>x<p>b</p><p>c</p>z</article><p>out</p>", "a x b c z\nb\nc"),
+    ("<div><p>a</div>no<p>b", "a\nb"),
+    ("<p>a</b>x</p></p>y", "a x"),
+    ("<p>a<br>b<img src=x>c</p>", "a b c"),
+    ("<p>a<script>x</p></script>b<noscript><p>n</p></noscript></p>", "a b"),
+    ("<p>q &amp;lt; caf&eacute; &#233;&#x20AC; &foo; r</p>", "q &lt; café é€ &foo r"),
+    ("<p>a<!-- </p> -->b</p>", "a b"),
+    ("<main><p>m</p></main><p>x</p><article></article>", ""),
+    ("<noscript><article><p>n</p></article></noscript><main><p>m</p></main><p>x</p>", "m"),
+    ('<div role="main"><div><p>x</p></div><p>y</p></div><p>z</p>', "x\ny"),
+    ("<p/>a<p>b</p>", "b"),
+    ("no paragraph", ""),
+])
+def test_nested_article_text(spark, page, want):
+    df = spark.createDataFrame([(page,)], "h string")
+    assert df.select(article_text_nested("h")).first()[0] == want
+
+
+def test_both_readings_agree_where_all_paragraphs_are_closed(spark):
+    pages = ["<article><p>a</p> <p>b <i>c</i></p></article><p>d</p>", "<p>a&nbsp;b</p><!-- x --><p> </p><p>c</p>"]
+    df = spark.createDataFrame([(p,) for p in pages], "h string")
+    assert all(r[0] == r[1] for r in df.select(article_text("h"), article_text_nested("h")).collect())
+
+
 @pytest.mark.parametrize("text, want", [
     ("plain", "plain"), ("a &amp;lt; b", "a &lt; b"), ("&lt;b&gt;", "<b>"), ("&#233;&#x20AC;&#146;&eacute;", "é€’é"),
     ("&foo;&copy 2 &#99999999;", "&foo© 2 �"), ("a & b && c&", "a & b && c&"), ("&hellip;&rsquo;&NotEqualTilde;", "…’≂̸"),
