@@ -20,13 +20,17 @@ from claimloom.schema import LABELS, RAW_REVIEWS, column_or_null, require_column
 ORDER, DATASET = "input_order", "dataset"
 
 
+def input_position(df: DataFrame) -> list[str]:
+    """Bookkeeping columns the frame has: together they order its rows as they came in."""
+    return [c for c in (DATASET, ORDER) if c in df.columns]
+
+
 def _text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
 def _select(df: DataFrame, **columns: Column) -> DataFrame:
-    carried = [F.col(c) for c in (DATASET, ORDER) if c in df.columns]
-    return df.select(*carried, *[c.alias(name) for name, c in columns.items()])
+    return df.select(*input_position(df), *[c.alias(name) for name, c in columns.items()])
 
 
 def adapt_factcheck_api(df: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def drop_unlabeled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label").isNotNull())
 
 
-def survivors(df: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
+def survivors(df: DataFrame, order: Sequence[str] = (ORDER,), fan_in: int = 0) -> DataFrame:
     """Rows with cleaned keys that no cleaning step drops.
 
     An unlabelled row can only keep later copies out, so it is shuffled without
@@ -74,7 +74,7 @@ def survivors(df: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
     present = drop_missing_text(df)
     fate = {DATASET, *order, "claim_text", "article_url", "label"}
     slim = {c: F.when(F.col("label").isNotNull(), F.col(c)) for c in present.columns if c not in fate}
-    return drop_unlabeled(dedup_keep_first(present.withColumns(slim), order))
+    return drop_unlabeled(dedup_keep_first(present.withColumns(slim), order, fan_in))
 
 
 def clean_claims(df: DataFrame, order: Sequence[str] = (ORDER,), pivot_year: int | None = None) -> DataFrame:

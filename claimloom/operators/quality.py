@@ -14,6 +14,11 @@ from claimloom.schema import CANONICAL, CLAIM_RECORD, LABELS, REQUIRED
 NOT_NULL = ("record_id", "source", "claim_text", "label", "ingested_at")
 
 
+# Texts of the two issues a column can have.
+MISSING_COLUMN = "Missing required column: %s"
+MISSING_VALUES = "Column '%s' is required but has %d missing value(s)"
+
+
 def schema_issues(df: DataFrame) -> DataFrame:
     """Issues as rows (issue, column_name, value, n_rows, message).
 
@@ -24,7 +29,7 @@ def schema_issues(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     shape = "issue string, column_name string, value string, n_rows long, message string"
     absent = [
-        ("missing_column", c, None, None, f"Missing required column: {c}") for c in REQUIRED if c not in df.columns
+        ("missing_column", c, None, None, MISSING_COLUMN % c) for c in REQUIRED if c not in df.columns
     ]
     issues = spark.createDataFrame(absent, shape)
 
@@ -37,7 +42,7 @@ def schema_issues(df: DataFrame) -> DataFrame:
                 "column_name",
                 F.lit(None).cast("string").alias("value"),
                 "n_rows",
-                F.format_string("Column '%s' is required but has %d missing value(s)", "column_name", "n_rows").alias("message"),
+                F.format_string(MISSING_VALUES, "column_name", "n_rows").alias("message"),
             )
         )
     if "label" in df.columns:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.operators.adapters import ORDER
+from claimloom.operators.adapters import input_position
 from claimloom.operators.dedup import keep_first, keep_last
 from claimloom.schema import CLAIM_RECORD
 
@@ -33,11 +33,12 @@ def upsert_source_dim(dim: DataFrame, batch: DataFrame, loaded_at: str) -> DataF
     return dim.unionByName(fresh)
 
 
-def upsert_publisher_dim(dim: DataFrame, batch: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
+def upsert_publisher_dim(dim: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Dimension plus the batch's new publishers, each with the first site seen.
 
     Known publishers stay as they are, also one stored without a site.
     """
+    order = order or input_position(batch)
     named = batch.filter(F.col("publisher_name").isNotNull()).select(
         F.col("publisher_name").alias("name"), F.col("publisher_site").alias("site"), *order
     )
@@ -45,9 +46,13 @@ def upsert_publisher_dim(dim: DataFrame, batch: DataFrame, order: Sequence[str]
     return dim.unionByName(fresh)
 
 
-def upsert_claims(target: DataFrame, batch: DataFrame, order: Sequence[str] = (ORDER,)) -> DataFrame:
-    """Target with the batch's rows replacing those of the same record_id; the batch's last copy wins."""
-    latest = sink_values(keep_last(batch, ["record_id"], order))
+def upsert_claims(target: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Target with the batch's rows replacing those of the same record_id; the batch's last copy wins.
+
+    The batch is read twice, for its ids and for its rows. Its ids are broadcast
+    only while they are few; the target is not shuffled then.
+    """
+    latest = sink_values(keep_last(batch, ["record_id"], order or input_position(batch)))
     kept = target.join(latest.select("record_id"), "record_id", "left_anti")
     return kept.select(*CLAIM_RECORD.fieldNames()).unionByName(latest)
 

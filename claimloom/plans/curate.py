@@ -7,13 +7,14 @@ from collections.abc import Mapping
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from claimloom.operators.adapters import DATASET, ORDER, adapt
 from claimloom.operators.cleaning import clean_keys, clean_payload, drop_counts, survivors
 from claimloom.operators.enrich import enrich_claims, run_stamp
 from claimloom.operators.metrics import merge_phase_metrics
+from claimloom.plans.load import load_star
 from claimloom.schema import CANONICAL, PHASE_SNAPSHOT, project
 from claimloom.sources.sinks import append_run_record, export_dataset
 
@@ -33,15 +34,16 @@ def curate_claims(
     ingested_at: str | None = None,
     pivot_year: int | None = None,
     keep_order: bool = False,
+    fan_in: int = 0,
 ) -> DataFrame:
     """Curate collections, given as {adapter name: raw rows with ``input_order``}.
 
     One plan and one shuffle for all of them: copies are looked for inside a
     collection, so the shuffle is keyed by collection and key. Texts, dates and
     images are cleaned after it, on the surviving rows. ``keep_order`` adds the
-    bookkeeping columns a load needs.
+    bookkeeping columns a load needs; ``fan_in`` is the one of ``keep_first``.
     """
-    curated = enrich_claims(clean_payload(survivors(adapt_all(raw)), pivot_year), ingested_at)
+    curated = enrich_claims(clean_payload(survivors(adapt_all(raw), fan_in=fan_in), pivot_year), ingested_at)
     return curated.select(*CANONICAL.fieldNames(), DATASET, ORDER) if keep_order else project(curated)
 
 
@@ -82,14 +84,46 @@ def run_curation(
     Returns the written dataset and the phase's timer. Without ``metrics_path``
     nothing is recorded: the caller merges this phase with others.
     """
-    spark = raw.sparkSession
     timer = PhaseTimer(source, ingested_at or run_stamp())
+    stamp = timer.key[1]
     with timer.step("export"):
-        claims = curate_claims({source: raw}, timer.key[1])
-        written = export_dataset(claims, output_path, source, input_path, fmt, timer.key[1])
+        written = export_dataset(curate_claims({source: raw}, stamp), output_path, source, input_path, fmt, stamp)
     with timer.step("clean"):
-        counts = drop_counts(adapt(raw, source)).first().asDict()
-        timer.counts.update(counts)
+        timer.counts.update(drop_counts(adapt(raw, source)).first().asDict())
     if metrics_path:
-        append_run_record(merge_phase_metrics(timer.snapshot(spark)), metrics_path)
+        append_run_record(merge_phase_metrics(timer.snapshot(raw.sparkSession)), metrics_path)
     return written, timer
+
+
+def run_source(
+    source: str,
+    raw: DataFrame,
+    output_path: str,
+    root: str,
+    metrics_path: str,
+    input_path: str = "",
+    ingested_at: str | None = None,
+    fmt: str = "parquet",
+) -> Row:
+    """Curate one collection, export it, load it into the star at ``root``, record one run for all phases.
+
+    The curated rows are staged once below ``root``; export and load read them there.
+    """
+    spark = raw.sparkSession
+    transform = PhaseTimer(source, ingested_at or run_stamp(), phase_no=2)
+    stamp = transform.key[1]
+    staged_path = f"{root}/_staging/{source}/run"
+    with transform.step("clean"):
+        curate_claims({source: raw}, stamp, keep_order=True).write.mode("overwrite").parquet(staged_path)
+        transform.counts.update(drop_counts(adapt(raw, source)).first().asDict())
+    staged = spark.read.parquet(staged_path)
+    with transform.step("export"):
+        export_dataset(project(staged), output_path, source, input_path, fmt, stamp)
+    phases = transform.snapshot(spark)
+
+    load = PhaseTimer(source, stamp, phase_no=3)
+    with load.step("load"):
+        summary = load_star(spark, root, staged, loaded_at=stamp)
+    load.counts["rows_loaded"] = summary["claim_records"]
+    append_run_record(merge_phase_metrics(phases.unionByName(load.snapshot(spark))), metrics_path)
+    return summary

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.operators.adapters import ORDER
 from claimloom.operators.enrich import run_stamp
 from claimloom.operators.quality import require_load_columns, require_no_violations
 from claimloom.operators.upsert import load_summary, upsert_claims, upsert_publisher_dim, upsert_source_dim
@@ -67,15 +66,15 @@ def load_star(
     spark: SparkSession,
     root: str,
     batch: DataFrame,
-    order: Sequence[str] = (ORDER,),
+    order: Sequence[str] | None = None,
     loaded_at: str | None = None,
     folder_digits: int = 2,
     split_digits: int = 1,
 ) -> Row:
     """Upsert curated rows into the star tables; returns the batch's summary.
 
-    ``batch`` is read several times: pass written files, not a long plan. A
-    broken rule (null in a required column, label outside the domain) refuses
+    ``batch`` is read several times: pass written files, not a long plan. Its
+    rows follow ``order``, by default the bookkeeping columns it carries. A broken rule (null in a required column, label outside the domain) refuses
     the whole load. ``folder_digits`` fixes the number of claim folders (16 to
     that power, keep it constant per store), ``split_digits`` how many pieces a
     rewritten folder has at least; raise it with the size of the store.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from claimloom.plans.fixtures import AS_OF, with_views
 
+# Whitespace, missing-value tokens and verdict wordings.
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"
 NA = (

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.enrich import run_stamp
-from claimloom.operators.quality import schema_issues
-from claimloom.schema import CANONICAL, LABELS, RUN_RECORD
+from claimloom.operators.quality import MISSING_COLUMN, MISSING_VALUES, schema_issues
+from claimloom.schema import LABELS, REQUIRED, RUN_RECORD
 
 CSV_WRITE = {
     "header": True, "quoteAll": True, "escape": '"', "emptyValue": "",
@@ -29,15 +29,14 @@ def run_manifest(
     counts = {name: F.count_if(label == name) for name in LABELS}
     counts["(unexpected)"] = F.count_if(label.isNotNull() & ~label.isin(*LABELS))
     entries = F.array(*[F.struct(F.lit(name).alias("label"), n.alias("n")) for name, n in counts.items()])
-    required = [f.name for f in CANONICAL.fields if f.metadata["required"]]
     messages = [
-        F.lit(f"Missing required column: {c}")
+        F.lit(MISSING_COLUMN % c)
         if c not in df.columns
         else F.when(
             F.count_if(F.col(c).isNull()) > 0,
-            F.format_string(f"Column '{c}' is required but has %d missing value(s)", F.count_if(F.col(c).isNull())),
+            F.format_string(MISSING_VALUES, F.lit(c), F.count_if(F.col(c).isNull())),
         )
-        for c in required
+        for c in REQUIRED
     ]
     messages.append(
         F.when(

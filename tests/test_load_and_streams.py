@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from claimloom.operators.incremental import append_new_posts, new_posts
 from claimloom.operators.upsert import load_summary, sink_values, upsert_publisher_dim, upsert_source_dim
-from claimloom.plans.curate import curate_claims
+from claimloom.plans.curate import curate_claims, run_source
 from claimloom.plans.load import last_commit, load_star, read_star
-from claimloom.schema import CLAIM_RECORD
+from claimloom.schema import CANONICAL, CLAIM_RECORD
+from claimloom.sources.readers import read_run_metrics
 from claimloom.streaming.curate import start_curation
 from claimloom.streaming.posts import start_post_append, start_post_dedup, stream_checkpoint
 
@@ -51,6 +52,19 @@ def test_load_is_idempotent_and_replaces_changed_rows(spark, tmp_path):
     assert commit["version"] == 3 and 1 <= len(rewritten) <= 2
 
 
+def test_whole_chain_is_one_recorded_run(spark, tmp_path):
+    rows = [claim("a", url="a.b/1", review_publisher_name="P"), claim("a", url="a.b/1"), claim("b", "Half True"), claim("c", "True")]
+    root, out, history = f"{tmp_path}/star", f"{tmp_path}/out", f"{tmp_path}/runs"
+    for _ in range(2):
+        summary = run_source("google_factcheck", reviews(spark, rows), out, root, history, "raw.csv", STAMP)
+    assert tuple(summary) == (1, 1, 2)
+    assert read_star(spark, root)["claim_record"].count() == 2 and spark.read.parquet(out).columns == CANONICAL.fieldNames()
+    runs = read_run_metrics(spark, history).collect()
+    assert len(runs) == 2
+    assert (runs[0]["rows_read"], runs[0]["rows_exported"], runs[0]["rows_loaded"], runs[0]["pct_valid"]) == (4, 2, 2, 50.0)
+    assert set(runs[0]["step_durations"]) == {"clean", "export", "load"}
+
+
 def test_a_refused_load_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "star")
     good = batch(spark, f"{tmp_path}/b1", [claim("a", url="a.b/1")])
