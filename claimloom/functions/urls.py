@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from claimloom.functions import as_column, let
+from claimloom.functions import as_column
 from claimloom.functions.text import WS, strip
 
-SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"
-
 # File endings that count as an image.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "svg")
 # Schemes whose last path segment may carry ;parameters.
@@ -30,38 +28,42 @@ PUBLISHER_SITES = (
 )
 
 
-def prefix_url_scheme(c: Column | str) -> Column:
-    """Stripped address with https:// put before one that has no scheme; blank is null."""
-    return let(
-        F.nullif(strip(c), F.lit("")),
-        lambda url: F.when(url.rlike(SCHEME), url).otherwise(F.concat(F.lit("https://"), url)),
-    )
+# Start of a non-empty address without scheme.
+_NO_SCHEME = r"\A(?![a-zA-Z][a-zA-Z0-9+.\-]*://)(?=[\s\S])"
+# A readable address: something before the first / ? or #, tabs and line breaks
+# not counted, and square brackets there only in pairs.
+_READABLE = (
+    r"(?s)\A([a-zA-Z][a-zA-Z0-9+.\-]*://(?=[\t\r\n]*[^/?#\t\r\n])"
+    r"(?:[^/?#\[\]]*|(?=[^/?#]*\[)(?=[^/?#]*\])[^/?#]*)(?:[/?#].*)?)\z"
+)
+
 
+def _with_scheme(c: Column | str) -> Column:
+    return F.regexp_replace(strip(c), _NO_SCHEME, "https://")
 
-def _has_authority(url: Column) -> Column:
-    # Tabs and line breaks inside an address do not count. An unpaired bracket cannot be parsed.
-    paired = F.contains(url, F.lit("[")) | F.contains(url, F.lit("]"))
-    unpaired = r"[^/?#\]]*\[[^/?#\]]*(?:[/?#]|\z)|[^/?#\[]*\][^/?#\[]*(?:[/?#]|\z)"
-    return url.rlike(rf"{SCHEME}[\t\r\n]*[^/?#\t\r\n]") & (~paired | ~url.rlike(rf"{SCHEME}(?:{unpaired})"))
+
+def prefix_url_scheme(c: Column | str) -> Column:
+    """Stripped address with https:// put before one that has no scheme; blank is null."""
+    return F.nullif(_with_scheme(c), F.lit(""))
 
 
 def normalize_url(c: Column | str) -> Column:
     """``prefix_url_scheme``, but null unless a readable authority part follows the scheme."""
-    return let(prefix_url_scheme(c), lambda url: F.when(_has_authority(url), url))
+    return F.nullif(F.regexp_extract(_with_scheme(c), _READABLE, 1), F.lit(""))
+
+
+# In schemes with parameters, the first ; of the last path segment ends the path.
+_IMAGE = (
+    r"(?i)\A(?:(?:{params})://[^/?#]*/(?:[^?#]*/)?[^/?#;]*\.(?:{endings})(?:;[^/?#]*)?"
+    r"|(?!(?:{params})://)[a-z][a-z0-9+.\-]*://[^/?#]*/[^?#]*\.(?:{endings}))(?:[?#]|\z)"
+).format(params="|".join(PARAM_SCHEMES), endings="|".join(IMAGE_EXTENSIONS))
 
 
 def is_image_url(normalized: Column | str) -> Column:
     """Whether the path of an already normalised address ends like an image file; null is false."""
-    def ends_like_image(url: Column) -> Column:
-        extensions = "|".join(IMAGE_EXTENSIONS)
-        plain = url.rlike(rf"(?i)^[^:]*://[^/?#]*/[^?#]*\.(?:{extensions})(?:[?#]|\z)")
-        before_params = url.rlike(rf"(?i)^[^:]*://[^/?#]*/(?:[^?#]*/)?[^/?#;]*\.(?:{extensions})(?:;[^/?#]*)?(?:[?#]|\z)")
-        takes_params = url.rlike(rf"(?i)^(?:{'|'.join(PARAM_SCHEMES)})://[^?#]*;")
-        return F.when(takes_params, before_params).otherwise(plain)
-
     # Parsers skip tabs and line breaks wherever they stand.
-    url = let(as_column(normalized), lambda u: F.when(u.rlike(r"[\t\r\n]"), F.translate(u, "\t\r\n", "")).otherwise(u))
-    return F.coalesce(let(url, ends_like_image), F.lit(False))
+    url = F.regexp_replace(as_column(normalized), r"[\t\r\n]", "")
+    return F.coalesce(url.rlike(_IMAGE), F.lit(False))
 
 
 def validate_image_url(c: Column | str) -> Column:

@@ -27,10 +27,12 @@ def class_balance(df: DataFrame) -> DataFrame:
 
 
 def top_unmapped_ratings(df: DataFrame, rating: str = "textual_rating", n: int = 15) -> DataFrame:
-    """The most frequent ratings that give no label; the report is a top n."""
-    unmapped = df.filter(F.col(rating).isNotNull() & label_from_rating(rating).isNull())
-    counted = unmapped.groupBy(F.col(rating).alias("rating")).agg(F.count("*").alias("n"))
-    return counted.orderBy(F.col("n").desc(), "rating").limit(n)
+    """The most frequent ratings that give no label; the report is a top n.
+
+    Ratings are counted first, so that only distinct ones are matched.
+    """
+    counted = df.filter(F.col(rating).isNotNull()).groupBy(F.col(rating).alias("rating")).agg(F.count("*").alias("n"))
+    return counted.filter(label_from_rating("rating").isNull()).orderBy(F.col("n").desc(), "rating").limit(n)
 
 
 def file_summary(rows: DataFrame, file: str = "file") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.joins import HOT_ROWS, skew_join
@@ -24,39 +24,37 @@ def schema_issues(df: DataFrame) -> DataFrame:
 
     A required column that is missing, its null count, and each label outside
     the domain. Optional columns may be absent. Unexpected labels stay rows: a
-    free-text column taken for the label may hold any number of them.
+    free-text column taken for the label may hold any number of them. All is
+    counted per label first, in one pass.
     """
-    spark = df.sparkSession
     shape = "issue string, column_name string, value string, n_rows long, message string"
-    absent = [
-        ("missing_column", c, None, None, MISSING_COLUMN % c) for c in REQUIRED if c not in df.columns
-    ]
-    issues = spark.createDataFrame(absent, shape)
-
+    absent = [("missing_column", c, None, None, MISSING_COLUMN % c) for c in REQUIRED if c not in df.columns]
     present = [c for c in REQUIRED if c in df.columns]
-    if present:
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-        issues = issues.unionByName(
-            nulls.unpivot([], present, "column_name", "n_rows").filter("n_rows > 0").select(
-                F.lit("null_values").alias("issue"),
-                "column_name",
-                F.lit(None).cast("string").alias("value"),
-                "n_rows",
-                F.format_string(MISSING_VALUES, "column_name", "n_rows").alias("message"),
-            )
-        )
-    if "label" in df.columns:
-        stray = df.filter(F.col("label").isNotNull() & ~F.col("label").isin(*LABELS)).groupBy("label").count()
-        issues = issues.unionByName(
-            stray.select(
-                F.lit("unexpected_label").alias("issue"),
-                F.lit("label").alias("column_name"),
-                F.col("label").alias("value"),
-                F.col("count").alias("n_rows"),
-                F.format_string("Column 'label' has unexpected value: '%s'", "label").alias("message"),
-            )
+    label = F.col("label") if "label" in df.columns else F.lit(None).cast("string")
+    per_label = df.groupBy(label.alias("_label")).agg(
+        F.count_if(label.isNotNull() & ~label.isin(*LABELS)).alias("_stray"),
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in present],
+    )
+
+    def entry(issue: str, column: str, value: Column, n: Column) -> Column:
+        return F.struct(
+            F.lit(issue).alias("issue"), F.lit(column).alias("column_name"), value.alias("value"), n.alias("n_rows")
         )
-    return issues
+
+    nothing = F.lit(None).cast("string")
+    entries = [entry("null_values", c, nothing, F.col(c)) for c in present]
+    entries.append(entry("unexpected_label", "label", F.when(F.col("_stray") > 0, F.col("_label")), F.col("_stray")))
+    found = (
+        per_label.select(F.inline(F.array(*entries)))
+        .filter("n_rows > 0")
+        .groupBy("issue", "column_name", "value")
+        .agg(F.sum("n_rows").alias("n_rows"))
+    )
+    message = F.when(
+        F.col("issue") == "null_values", F.format_string(MISSING_VALUES, "column_name", "n_rows")
+    ).otherwise(F.format_string("Column 'label' has unexpected value: '%s'", "value"))
+    issues = df.sparkSession.createDataFrame(absent, shape)
+    return issues.unionByName(found.withColumn("message", message))
 
 
 def require_load_columns(df: DataFrame) -> DataFrame:

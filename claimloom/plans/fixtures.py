@@ -62,8 +62,8 @@ def _reviews(rating_shift: int) -> str:
     return f"""
     SELECT doc_id AS input_order,
       CASE WHEN doc_id % 11 = 0 THEN concat(' ', chr(9))
-           WHEN doc_id % 7 = 0 THEN concat(chr(160), split_part(text, chr(10), 1), '  ')
-           ELSE split_part(text, chr(10), 1) END AS claim_text,
+           WHEN doc_id % 7 = 0 THEN concat(chr(160), first_line, '  ')
+           ELSE first_line END AS claim_text,
       CASE doc_id % 6 WHEN 0 THEN 'None' WHEN 1 THEN '' ELSE concat('  Speaker ', doc_id % 13) END AS claimant,
       {_date('doc_id')} AS claim_date,
       source AS review_publisher_name,
@@ -72,12 +72,12 @@ def _reviews(rating_shift: int) -> str:
            WHEN doc_id % 5 = 1 THEN concat(' www.', source, '.example.com/', doc_id)
            WHEN doc_id % 25 = 3 THEN 'http://'
            ELSE concat('https://factcheck.example.org/', CAST(floor(doc_id / 2) AS BIGINT)) END AS review_url,
-      concat('Review:  ', split_part(text, chr(10), 1)) AS review_title,
+      concat('Review:  ', first_line) AS review_title,
       {_date('doc_id', 3)} AS review_date,
       {_rating(f'(doc_id + {rating_shift})')} AS textual_rating,
       lang AS language_code,
       text AS article_text
-    FROM {{documents}}"""
+    FROM (SELECT *, split_part(text, chr(10), 1) AS first_line FROM {{documents}})"""
 
 
 VIEWS = {

@@ -487,7 +487,7 @@ def upsert_publisher_dim(spark, sf_dir):
 @query
 def upsert_claims(spark, sf_dir):
     """Stored reviews, then the same reviews extracted again with other verdicts."""
-    stored = written(upsert.sink_values(enriched_reviews(spark, sf_dir)), "stored")
+    stored = upsert.sink_values(enriched_reviews(spark, sf_dir))
     batch = written(enriched_reviews(spark, sf_dir, "raw_reviews_again"), "batch")
     return upsert.upsert_claims(stored, batch)
 

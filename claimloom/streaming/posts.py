@@ -18,18 +18,20 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/claimloom/streams/{name}"
 
 
-def dedup_posts_stream(posts: DataFrame, event_time: str = "pub_date", forget_after: str = "7 days") -> DataFrame:
-    """Each guid once; posts without guid always pass.
-
-    State is keyed by guid and dropped ``forget_after`` past the newest post. A
-    feed shows its last posts only, so that must exceed the time a post stays
-    listed. A guid that returns later passes again, and the keyed load replaces
-    its row.
+def dedup_posts_stream(posts: DataFrame, event_time: str = "pub_date", forget_after: str | None = None) -> DataFrame:
+    """Each guid once, whenever it returns; posts without guid always pass.
+
+    The state holds every guid seen (keep it in the RocksDB store on a cluster).
+    ``forget_after`` bounds it: guids are dropped that long past the newest
+    post, which must exceed the time a post stays listed in the feed. A guid
+    returning later passes again, and a new post older than that is late and
+    lost, so set it only for feeds that list posts in order.
     """
-    timed = posts.withWatermark(event_time, forget_after)
-    named = timed.filter(F.col("guid").isNotNull()).dropDuplicatesWithinWatermark(["guid"])
-    unnamed = timed.filter(F.col("guid").isNull())
-    return named.unionByName(unnamed)
+    named, unnamed = posts.filter(F.col("guid").isNotNull()), posts.filter(F.col("guid").isNull())
+    if forget_after is None:
+        return named.dropDuplicates(["guid"]).unionByName(unnamed)
+    timed = named.withWatermark(event_time, forget_after)
+    return timed.dropDuplicatesWithinWatermark(["guid"]).unionByName(unnamed.withWatermark(event_time, forget_after))
 
 
 def start_post_dedup(posts: DataFrame, output: str, checkpoint: str, **options) -> StreamingQuery:

@@ -136,15 +136,24 @@ POLLS = [
 ]
 
 
-def test_stream_dedup_over_polls(spark, tmp_path):
+@pytest.mark.parametrize("forget_after", [None, "3650 days", "1 day"])
+def test_stream_dedup_over_polls(spark, tmp_path, forget_after):
     folder, out, checkpoint = str(tmp_path / "polls"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for n, rows in enumerate(POLLS):
         poll(spark, folder, n, rows)
-        start_post_dedup(read_polls(spark, folder), out, checkpoint).awaitTermination()
+        start_post_dedup(read_polls(spark, folder), out, checkpoint, forget_after=forget_after).awaitTermination()
     got = sorted(r["post_text"] for r in spark.read.schema(POST).parquet(out).collect())
     assert got == ["a", "b", "c", "d", "n", "n"]
 
 
+def test_old_posts_that_come_late_are_not_lost(spark, tmp_path):
+    folder, out, checkpoint = str(tmp_path / "polls"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for n, rows in enumerate([[("new", "2024-06-01", "9")], [("old", "2020-01-01", "1"), ("new", "2024-06-01", "9")]]):
+        poll(spark, folder, n, rows)
+        start_post_dedup(read_polls(spark, folder), out, checkpoint).awaitTermination()
+    assert sorted(r["post_text"] for r in spark.read.schema(POST).parquet(out).collect()) == ["new", "old"]
+
+
 def test_stream_append_equals_the_batch_contract(spark, tmp_path):
     folder, out, checkpoint = str(tmp_path / "polls"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
     expected = None
