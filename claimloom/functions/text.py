@@ -46,6 +46,11 @@ def clean_text(c: Column | str) -> Column:
     return F.nullif(F.trim(F.regexp_replace(spaced, "  +", " ")), F.lit(""))
 
 
+def has_text(c: Column | str) -> Column:
+    """Whether ``clean_text`` leaves something; looks at the ends of the text only."""
+    return strip(c) != ""
+
+
 def na_to_null(c: Column | str) -> Column:
     c = as_column(c)
     return F.when(~c.isin(*NA_TOKENS), c)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.dates import normalize_datetime
 from claimloom.functions.ratings import label_from_rating
-from claimloom.functions.text import clean_text
+from claimloom.functions.text import clean_text, has_text
 from claimloom.functions.urls import is_image_url, normalize_url
 from claimloom.operators.adapters import DATASET, ORDER
 from claimloom.operators.dedup import keep_first
@@ -43,6 +43,14 @@ def clean_payload(df: DataFrame, pivot_year: int | None = None) -> DataFrame:
     return df.withColumn("has_valid_image", is_image_url("image_url")) if "image_url" in df.columns else df
 
 
+def drop_blank_claims(df: DataFrame) -> DataFrame:
+    """The rows ``drop_missing_text`` drops, found before cleaning.
+
+    A filter on the cleaned text would move below the cleaning and run it again.
+    """
+    return df.filter(has_text("claim_text"))
+
+
 def drop_missing_text(df: DataFrame) -> DataFrame:
     return df.filter(F.col("claim_text").isNotNull())
 
@@ -66,20 +74,19 @@ def drop_unlabeled(df: DataFrame) -> DataFrame:
 
 
 def survivors(df: DataFrame, order: Sequence[str] = (ORDER,), fan_in: int = 0) -> DataFrame:
-    """Rows with cleaned keys that no cleaning step drops.
+    """Of non-blank rows with cleaned keys, those no further step drops.
 
     An unlabelled row can only keep later copies out, so it is shuffled without
     its texts.
     """
-    present = drop_missing_text(df)
     fate = {DATASET, *order, "claim_text", "article_url", "label"}
-    slim = {c: F.when(F.col("label").isNotNull(), F.col(c)) for c in present.columns if c not in fate}
-    return drop_unlabeled(dedup_keep_first(present.withColumns(slim), order, fan_in))
+    slim = {c: F.when(F.col("label").isNotNull(), F.col(c)) for c in df.columns if c not in fate}
+    return drop_unlabeled(dedup_keep_first(df.withColumns(slim), order, fan_in))
 
 
 def clean_claims(df: DataFrame, order: Sequence[str] = (ORDER,), pivot_year: int | None = None) -> DataFrame:
     """All cleaning steps on one input."""
-    return clean_payload(survivors(clean_keys(df), order), pivot_year)
+    return clean_payload(survivors(clean_keys(drop_blank_claims(df)), order), pivot_year)
 
 
 def drop_counts(df: DataFrame, order: Sequence[str] = (ORDER,), cleaned: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from claimloom.operators.adapters import DATASET, ORDER, adapt
-from claimloom.operators.cleaning import clean_keys, clean_payload, drop_counts, survivors
+from claimloom.operators.cleaning import clean_keys, clean_payload, drop_blank_claims, drop_counts, survivors
 from claimloom.operators.enrich import enrich_claims, run_stamp
 from claimloom.operators.metrics import merge_phase_metrics
 from claimloom.plans.load import load_star
@@ -19,14 +19,18 @@ from claimloom.schema import CANONICAL, PHASE_SNAPSHOT, project
 from claimloom.sources.sinks import append_run_record, export_dataset
 
 
-def adapt_all(raw: Mapping[str, DataFrame]) -> DataFrame:
+def adapt_all(raw: Mapping[str, DataFrame], blank_claims: bool = True) -> DataFrame:
     """All collections, {adapter name: raw rows}, in canonical columns with cleaned keys.
 
-    Keys are cleaned per collection, since ratings are mapped only where the
+    Rows without claim text are left out on request. Keys are cleaned per collection, since ratings are mapped only where the
     collection brings no label column.
     """
-    keyed = [clean_keys(adapt(df.withColumn(DATASET, F.lit(name)), name)) for name, df in raw.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), keyed)
+    def keyed(name: str, df: DataFrame) -> DataFrame:
+        adapted = adapt(df.withColumn(DATASET, F.lit(name)), name)
+        return clean_keys(adapted if blank_claims else drop_blank_claims(adapted))
+
+    collections = [keyed(name, df) for name, df in raw.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), collections)
 
 
 def curate_claims(
@@ -43,7 +47,7 @@ def curate_claims(
     images are cleaned after it, on the surviving rows. ``keep_order`` adds the
     bookkeeping columns a load needs; ``fan_in`` is the one of ``keep_first``.
     """
-    curated = enrich_claims(clean_payload(survivors(adapt_all(raw), fan_in=fan_in), pivot_year), ingested_at)
+    curated = enrich_claims(clean_payload(survivors(adapt_all(raw, blank_claims=False), fan_in=fan_in), pivot_year), ingested_at)
     return curated.select(*CANONICAL.fieldNames(), DATASET, ORDER) if keep_order else project(curated)
 
 
