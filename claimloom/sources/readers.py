@@ -42,6 +42,13 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return na_tokens_to_null(_in_input_order(raw) if ordered else raw)
 
 
+def read_raw_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """Raw rows landed as Parquet, which splits within a file, with ``input_order`` from file and row number."""
+    raw = spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
+    position = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return na_tokens_to_null(raw.withColumn(ORDER, position))
+
+
 def labeled_file_union(
     spark: SparkSession,
     files: Sequence[tuple[str, str]],

@@ -19,7 +19,7 @@ from claimloom.operators.sampling import sample_per_file
 from claimloom.plans.curate import curate_claims, run_curation
 from claimloom.schema import CANONICAL, RAW_ARTICLES, RAW_REVIEWS, REQUIRED, fields_with_role, project
 from claimloom.sources.readers import (
-    labeled_file_union, parse_post_feed, read_claim_payloads, read_raw_csv, read_run_metrics,
+    labeled_file_union, parse_post_feed, read_claim_payloads, read_raw_csv, read_raw_parquet, read_run_metrics,
 )
 from claimloom.sources.sinks import export_dataset, run_manifest
 
@@ -239,6 +239,16 @@ def test_raw_csv_strings_quotes_and_missing_tokens(spark, tmp_path):
     assert [tuple(r)[:4] for r in rows] == [('a "q", b', "line\nbreak", None, None), ("1984", "true", None, None)]
 
 
+def test_raw_parquet_keeps_file_and_row_order(spark, tmp_path):
+    rows = [claim("a", "Half True", "u.v/1"), claim("b", "False", "u.v/1"), claim("N/A"), claim("c", "True", "u.v/2")]
+    path = str(tmp_path / "raw")
+    reviews(spark, rows).select(*NAMES).coalesce(1).write.parquet(path)
+    raw = read_raw_parquet(spark, path, RAW_REVIEWS)
+    assert [r["claim_text"] for r in raw.orderBy("input_order").collect()] == ["a", "b", None, "c"]
+    assert [r["claim_text"] for r in curate_claims({"google_factcheck": raw}, STAMP).collect()] == ["c"]
+    assert drop_counts(adapt(raw, "google_factcheck")).first()["rows_dropped_label"] == 1
+
+
 def test_label_files_keep_order_and_text_labels(spark, tmp_path):
     for name in ("Fake", "True"):
         (tmp_path / f"{name}.csv").write_text("title,text,subject,date\n" + "".join(f"{name}{i},x,s,\n" for i in range(5)))
