@@ -92,3 +92,8 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python workers batches bounded in rows, so that long texts don't add up to a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")

@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.llm.bitpack import token_digests, write_packed
 from claimloom.llm.common import table
 from claimloom.llm.content_sort import exact_groups
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
+from claimloom.llm.simhash import near_groups
+from claimloom.session import scratch_dir
 
 #: Shards of the registered sharding query and of the pipeline.
 SHARDS = 32
 
 
+def op1_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, "llm-packed")
+    write_packed(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_digests(spark, path)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
@@ -26,7 +41,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bit_packed_tokens": op1_bit_packed_tokens,
     "op3_mix_sources": op3_mix_sources,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_shard": op9_shard,
     "op10_exact_dedup": op10_exact_dedup,
 }
