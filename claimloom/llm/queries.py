@@ -10,6 +10,7 @@ from claimloom.llm.content_sort import exact_groups
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
 from claimloom.llm.simhash import near_groups
+from claimloom.llm.toxicity import toxicity_scores
 from claimloom.session import scratch_dir
 
 #: Shards of the registered sharding query and of the pipeline.
@@ -24,6 +25,10 @@ def op1_bit_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, path)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,6 +47,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bit_packed_tokens": op1_bit_packed_tokens,
+    "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_shard": op9_shard,
