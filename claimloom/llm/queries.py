@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from claimloom.llm.bitpack import token_digests, write_packed
 from claimloom.llm.common import table
 from claimloom.llm.content_sort import exact_groups
+from claimloom.llm.langid import language_predictions
+from claimloom.llm.licenses import scan_licenses
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
 from claimloom.llm.simhash import near_groups
@@ -37,6 +39,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
@@ -50,6 +60,8 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_license_scan": op7_license_scan,
     "op9_shard": op9_shard,
     "op10_exact_dedup": op10_exact_dedup,
 }
