@@ -11,6 +11,7 @@ from claimloom.llm.langid import language_predictions
 from claimloom.llm.licenses import scan_licenses
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
+from claimloom.llm.quality import quality_scores
 from claimloom.llm.simhash import near_groups
 from claimloom.llm.toxicity import toxicity_scores
 from claimloom.session import scratch_dir
@@ -47,6 +48,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
+    "op8_quality": op8_quality,
     "op9_shard": op9_shard,
     "op10_exact_dedup": op10_exact_dedup,
 }
