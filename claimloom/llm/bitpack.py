@@ -16,8 +16,10 @@ without leaving anything behind.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,13 +31,18 @@ from pyspark.sql import types as T
 from claimloom.llm.common import bounded_batches, text_or_empty, written
 
 BLOCK_IDS = 1 << 16
-#: Distinct pieces of text that a worker remembers with their ids.
-REMEMBERED = 300_000
+#: Distinct pieces of text that a worker remembers with their ids (about 200 bytes each).
+REMEMBERED = 800_000
+#: Characters of a text that are cut into pieces at a time.
+STRETCH = 1 << 20
 
 _BLOCK = "shard int, block long, first_id long, n_ids int, payload binary, docs array<struct<doc_id: long, at: int, n: long>>"
 #: White space that a pre-tokenizer of byte-level BPE may join to the white space before a word.
 _SPACE = " \t\n\r\x0b\x0c"
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_OTHER_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Letters below this one are letters to every version of Unicode's tables.
+_LATIN = "\u0250"
 _ODD_SPACE = re.compile(rf"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000][{_SPACE}]")
 
 
@@ -63,45 +70,113 @@ def unpack(payload: bytes, bits: int, n: int, start: int = 0) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
 
 
-class Encoder:
-    """Encodes texts with a byte-level BPE file of the ``tokenizers`` library.
+class _Words(dict):
+    """Ids of words that follow a space or begin a line, as bytes; worked out when first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode, self.model = tokenizer.encode, tokenizer.model
+        self.spelled = _Spelled(tokenizer.pre_tokenizer)
+        self.space = self.spelled[" "]
+        self.rests: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _rest(self, text: str) -> bytes:
+        if text not in self.rests:
+            if len(self.rests) > 10_000:
+                self.rests.clear()
+            self.rests[text] = self._ids(text)
+        return self.rests[text]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        line = word.startswith("\n")
+        stem = word.rstrip(".,;:!?")
+        if len(stem) < len(word) and stem[line:].isalpha():
+            found = self[stem] + self._rest(word[len(stem):])  # stops after letters are a unit of their own
+        elif stem[line:].isalpha() and max(stem) < _LATIN:
+            # Letters after a space, or after a line break, are one unit.
+            letters = stem[line:]
+            if not letters.isascii():
+                letters = "".join(map(self.spelled.__getitem__, letters))
+            unit = letters if line else self.space + letters
+            found = array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
+            found = self._rest("\n") + found if line else found
+        else:
+            found = self._ids(word if line else " " + word)
+        self[word] = found
+        return found
+
+
+class _Spelled(dict):
+    """How the pre-tokenizer spells a character."""
+
+    def __init__(self, pre_tokenizer):
+        super().__init__()
+        self.pre_tokenizer = pre_tokenizer
+
+    def __missing__(self, char: str) -> str:
+        self[char] = spelled = "".join(unit for unit, _ in self.pre_tokenizer.pre_tokenize_str(char))
+        return spelled
+
 
-    Its pre-tokenizer never joins what stands before white space with that
-    white space, so a text's ids are those of its pieces of white space and
-    word, and a piece that was met before needs no second run. A text that
-    holds an added token, or other white space before ASCII white space, is
-    encoded as a whole.
+class Encoder:
+    """Encodes texts with a file of the ``tokenizers`` library, ids equal to its own.
+
+    The pre-tokenizer of byte-level BPE never joins what stands before white
+    space with that white space, so a text's ids are those of its pieces of
+    white space and word, and a piece that was met before needs no second run.
+    Texts of single spaces and line breaks are cut at those, others by a
+    pattern. A text that holds an added token, or other white space before
+    ASCII white space, and any text for another kind of tokenizer, is encoded
+    as a whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        # Threads of the library would only wait for one another beside other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_piece = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) and not self.tokenizer.pre_tokenizer.add_prefix_space
+        self.words = _Words(self.tokenizer) if self.by_piece else {}
         self.known: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
     def __call__(self, text: str) -> np.ndarray:
-        if _ODD_SPACE.search(text) or any(t in text for t in self.added):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        known, found = self.known, []
-        for at in range(0, len(text), 1 << 20):  # whole pieces: the last one of a stretch is left to the next
-            found += self._pieces(text, at, known)
+        if not self.by_piece or any(t in text for t in self.added):
+            return self._whole(text)
+        if len(text) <= STRETCH and not _OTHER_SPACE.search(text) and not any(pair in text for pair in ("  ", " \n", "\n ", "\n\n")):
+            words = text.replace("\n", " \n").split(" ")
+            first = self._whole(words[0]) if words[0] else np.zeros(0, "<u4")
+            return np.concatenate([first, np.frombuffer(b"".join(map(self.words.__getitem__, words[1:])), dtype="<u4")])
+        if _ODD_SPACE.search(text):
+            return self._whole(text)
+        found = []
+        for at in range(0, len(text), STRETCH):
+            found += self._pieces(text, at)
         return np.frombuffer(b"".join(found), dtype="<u4")
 
-    def _pieces(self, text: str, at: int, known: dict[str, bytes]) -> list[bytes]:
-        begin, end = self._cut(text, at), self._cut(text, at + (1 << 20))
-        pieces = _PIECE.findall(text, begin, end)
+    def _pieces(self, text: str, at: int) -> list[bytes]:
+        known = self.known
+        pieces = _PIECE.findall(text, self._cut(text, at), self._cut(text, at + STRETCH))
         if new := list(set(pieces).difference(known)):
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = list(set(pieces))
             for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[piece] = np.array(e.ids, dtype="<u4").tobytes()
+                known[piece] = array("I", e.ids).tobytes()
         return [known[p] for p in pieces]
 
     @staticmethod
     def _cut(text: str, at: int) -> int:
-        """The first place from ``at`` on where white space follows a word."""
+        """The first place from ``at`` on where white space follows a word: what stands before it is whole pieces."""
         if at <= 0 or at >= len(text):
             return max(0, min(at, len(text)))
         m = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]").search(text, at)
