@@ -8,6 +8,7 @@ from claimloom.llm.bitpack import token_digests, write_packed
 from claimloom.llm.common import table
 from claimloom.llm.content_sort import exact_groups
 from claimloom.llm.langid import language_predictions
+from claimloom.llm.latent import benchmark_leaks
 from claimloom.llm.licenses import scan_licenses
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
@@ -40,6 +41,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
