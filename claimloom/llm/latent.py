@@ -39,7 +39,7 @@ RANK, OVERSAMPLE = 256, 16
 #: Passages of items in a block.
 BLOCK_PASSAGES = 256
 #: Least cosine of a candidate.
-COSINE = 0.35
+COSINE = 0.25
 #: Share of an item's words that a leak holds in order; a smaller one with the answer.
 LCS, LCS_WITH_ANSWER, ANSWER = 0.8, 0.6, 0.9
 #: A stretch may be so many times as long as its item.

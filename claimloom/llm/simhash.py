@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import bounded_batches, components, written, written_counting
+from claimloom.llm.common import bounded_batches, components, small_or_shuffled, written, written_counting
 from claimloom.llm.words import shingle_hashes
 
 CROWD = 64
@@ -157,3 +157,94 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     named = joined.select("fp", "part").join(smallest, "part").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Near-duplicates by similarity: lanes of the fingerprint over distinct words, and the bits that a candidate may differ in.
+LANES, CANDIDATE_BITS = 4, 56
+
+
+def shingle_set(text: str | None, shingle: int) -> bytes:
+    """The distinct shingles of a text as sorted 32-bit hashes."""
+    pieces = [h.astype("<u4") for h in shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(pieces)).tobytes() if pieces else b""
+
+
+@F.pandas_udf(T.DoubleType())
+def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
+    def one(x: bytes, y: bytes) -> float:
+        x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        return shared / (len(x) + len(y) - shared) if len(x) + len(y) else 1.0
+
+    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+
+def similar_pairs(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
+    """Keeps those of given pairs ``(a, b)`` of classes whose texts share enough shingles.
+
+    ``classes(id, doc_id, digest, lanes)`` names a document for each id. Only
+    texts of documents in pairs that pass the distance are cut into shingles.
+    """
+    near = hamming_links(classes, LANES, CANDIDATE_BITS)
+
+    @F.pandas_udf(T.BinaryType())
+    def shingled(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, shingle) for t in texts], dtype=object)
+
+    def keep(pairs: DataFrame) -> DataFrame:
+        close = written(near(pairs), "close")
+        met = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
+        named, seen = written_counting(classes.join(met, "id", "left_semi").select("id", "doc_id", "digest"), "met", n=F.count(F.lit(1)))
+        wanted = small_or_shuffled(named.withColumnRenamed("doc_id", "its_id"), seen["n"])
+        texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("its_id")))
+        texts = texts.where(_digest() == F.col("digest"))
+        # A repeated row stands for its class once.
+        sets = written(texts.select("id", shingled("text").alias("shingles")).groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
+        both = (close.join(sets.withColumnRenamed("id", "a").withColumnRenamed("shingles", "x"), "a")
+                .join(sets.withColumnRenamed("id", "b").withColumnRenamed("shingles", "y"), "b"))
+        return both.where(_jaccard("x", "y") >= similarity).select("a", "b")
+
+    return keep
+
+
+def _digest() -> Column:
+    """Of a text; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` without near-duplicates: one row of each group stays, all its columns as they are.
+
+    Documents link if the Jaccard similarity of their ``shingle``-word
+    shingles is ``similarity`` or more, and groups are the components of those
+    links. Candidates come from fingerprints over distinct words: a few edits
+    change all shingles around them but few words, so fingerprints of texts
+    that similar agree in some segment up to one bit. Equal texts are one
+    class; a null text is an empty one and texts without words are alike. Of a
+    group the row with the smallest id stays (null ids last, then the smallest
+    digest); of rows that repeat id and text one stays.
+    """
+    bounded_batches(docs.sparkSession)
+    marked = written(docs.select("doc_id", _digest().alias("digest"), fingerprint(F.col("text"), 1, LANES, distinct=True).alias("lanes")), "marks")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
+    units = marked.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("lanes").alias("lanes"))
+    best = units.groupBy("digest").agg(F.min(F.struct(order.alias("at"), "n", "lanes")).alias("m"))
+    classes = written(best.select("digest", "m.at.doc_id", "m.n", "m.lanes").withColumn("id", F.monotonically_increasing_id()), "classes")
+    parts = components(links(classes.select("id", "lanes"), LANES, 4 * LANES - 1, similar_pairs(docs, classes, shingle, similarity)), "near")
+    grouped = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    firsts = grouped.groupBy("part").agg(F.min(F.struct(order.alias("at"), "digest", "n")).alias("m")).select("m.at.doc_id", "m.digest", "m.n")
+    firsts = written(firsts, "firsts")
+    # What goes: all other rows, and for now the rows that stay but are repeated.
+    stays = firsts.where("n = 1").select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    goes, gone = written_counting(marked.select("doc_id", "digest").distinct().join(stays, same, "left_anti")
+                                  .select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")), "goes", n=F.count(F.lit(1)))
+    told = docs.withColumn("digest", _digest()) if "digest" not in docs.columns else docs.withColumnRenamed("digest", "_own_digest").withColumn("digest", _digest())
+    columns = [F.col("_own_digest").alias(c) if c == "digest" else F.col(c) for c in docs.columns]
+    out = told.join(small_or_shuffled(goes, gone["n"]), same, "left_anti").select(*columns)
+    repeated, more = written_counting(firsts.where("n > 1").select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")), "repeated", n=F.count(F.lit(1)))
+    if more["n"]:
+        once = (told.join(small_or_shuffled(repeated, more["n"]), same, "left_semi")
+                .withColumn("_id_key", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).dropDuplicates(["_id_key", "digest"]))
+        out = out.unionByName(once.select(*columns))
+    return out
