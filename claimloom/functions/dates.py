@@ -38,13 +38,17 @@ _ISO = r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}
 _SHAPES = (
     (rf"(?i)\A(\d{{4}})-(\d{{1,2}})(?:-(\d{{1,2}}))?{_TIME}", "$1|$2|$3|$4|$5|$6"),
     (rf"(?i)\A{_MONTH}[ -]+{_DAY},?[ -]+{_YEAR}{_TIME}", "$3|$1|$2|$4|$5|$6"),
-    (rf"(?i)\A{_DAY}[ -]+{_MONTH},?[ -]+{_YEAR}{_TIME}", "$3|$2|$1|$4|$5|$6"),
+    (rf"(?i)\A{_DAY}[ /-]+{_MONTH},?[ /-]+{_YEAR}{_TIME}", "$3|$2|$1|$4|$5|$6"),
+    (rf"(?i)\A(\d{{4}})[ -]+{_MONTH}[ -]+{_DAY}{_TIME}", "$1|$2|$3|$4|$5|$6"),
+    (rf"(?i)\A{_MONTH}\s+{_DAY}\s+{_CLOCK}\s+(?:{_ZONE}\s+)?(\d{{4}})\z", "$5|$1|$2|$3||$4"),
     (rf"(?i)\A{_MONTH},?[ -]+(\d{{4}})\z", "$2|$1||||"),
     (rf"(?i)\A(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){_TIME}", "$1|$2|$3|$4|$5|$6"),
     # Numeric day and month: month first, unless that number cannot be a month.
     (rf"(?i)\A(0?[1-9]|1[0-2])[/.-](\d{{1,2}})[/.-]{_YEAR}{_TIME}", "$3|$1|$2|$4|$5|$6"),
     (rf"(?i)\A(\d{{1,2}})[/.-](0?[1-9]|1[0-2])[/.-]{_YEAR}{_TIME}", "$3|$2|$1|$4|$5|$6"),
     (r"\A(\d{4})(\d{2})(\d{2})\z", "$1|$2|$3|||"),
+    (rf"(?i)\A(\d{{4}})(\d{{2}})(\d{{2}})T?(\d{{2}})(\d{{2}})(\d{{2}}){_ZONE}?\z", "$1|$2|$3|$4:$5:$6||$7"),
+    (rf"(?i)\A(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})[T ]+(\d{{1,2}})\s*([ap]m)?\s*{_ZONE}?\z", "$1|$2|$3|$4:00|$5|$6"),
     (r"\A(\d{4})\z", "$1|||||"),
 )
 
@@ -89,7 +93,8 @@ def parse_datetime(c: Column | str, pivot_year: int | None = None) -> Column:
     """Timestamp of a date written in any known shape; no zone means UTC; else null.
 
     A two-digit year is read into the 50 years either side of ``pivot_year``
-    (this year by default). Bare clock times have no date and are null.
+    (this year by default). Words for a moving date ("now", "today"), bare clock
+    times and six bare digits name no date and are null.
     """
     pivot = pivot_year or datetime.now(timezone.utc).year
     earliest, latest = F.lit(EARLIEST).cast("timestamp"), F.lit(LATEST).cast("timestamp")

@@ -107,7 +107,8 @@ def adapt_labeled_articles(df: DataFrame) -> DataFrame:
     return _select(
         df,
         source=F.lit("isot"),
-        claim_text=F.col("title"),
+        # A row without a title is dropped early; naming the label here has it checked before that.
+        claim_text=F.when(label.isNull() | label.isNotNull(), F.col("title")),
         claimant=_text(None),
         claim_date=column_or_null(df, "date"),
         article_title=F.col("title"),

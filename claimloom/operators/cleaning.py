@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimloom.functions.dates import normalize_datetime
@@ -52,7 +52,8 @@ def drop_blank_claims(df: DataFrame) -> DataFrame:
 
 
 def drop_missing_text(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("claim_text").isNotNull())
+    """Rows with a claim, its text cleaned already or not: blank text is no claim."""
+    return drop_blank_claims(df)
 
 
 def dedup_key(df: DataFrame) -> Column:
@@ -73,7 +74,35 @@ def drop_unlabeled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label").isNotNull())
 
 
-def survivors(df: DataFrame, order: Sequence[str] = (ORDER,), fan_in: int = 0) -> DataFrame:
+class DropTally:
+    """Rows read, dropped per reason and kept, counted inside a curation's own plan while it runs.
+
+    Pass one to the plan, run one action on it, then ask for ``counts``: no
+    second pass, and no changed input between rows and counts.
+    """
+
+    def __init__(self):
+        self._raw, self._first = Observation(), Observation()
+
+    def at_raw(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._raw, F.count(F.lit(1)).alias("n"), F.count_if(has_text("claim_text")).alias("with_claim"))
+
+    def at_first_copies(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._first, F.count(F.lit(1)).alias("n"), F.count("label").alias("labeled"))
+
+    def counts(self) -> dict[str, int]:
+        """Waits for the first action on the plan."""
+        raw, first = self._raw.get, self._first.get
+        return {
+            "rows_read": raw["n"],
+            "rows_dropped_missing_text": raw["n"] - raw["with_claim"],
+            "rows_dropped_duplicate": raw["with_claim"] - first["n"],
+            "rows_dropped_label": first["n"] - first["labeled"],
+            "rows_exported": first["labeled"],
+        }
+
+
+def survivors(df: DataFrame, order: Sequence[str] = (ORDER,), fan_in: int = 0, tally: DropTally | None = None) -> DataFrame:
     """Of non-blank rows with cleaned keys, those no further step drops.
 
     An unlabelled row can only keep later copies out, so it is shuffled without
@@ -81,7 +110,8 @@ def survivors(df: DataFrame, order: Sequence[str] = (ORDER,), fan_in: int = 0) -
     """
     fate = {DATASET, *order, "claim_text", "article_url", "label"}
     slim = {c: F.when(F.col("label").isNotNull(), F.col(c)) for c in df.columns if c not in fate}
-    return drop_unlabeled(dedup_keep_first(df.withColumns(slim), order, fan_in))
+    first = dedup_keep_first(df.withColumns(slim), order, fan_in)
+    return drop_unlabeled(tally.at_first_copies(first) if tally else first)
 
 
 def clean_claims(df: DataFrame, order: Sequence[str] = (ORDER,), pivot_year: int | None = None) -> DataFrame:

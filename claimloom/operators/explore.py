@@ -69,9 +69,9 @@ def publisher_site_filter(
 
 
 def max_age_filter(
-    reviews: DataFrame, as_of: str | Column, days: int = MAX_AGE_DAYS, column: str = "review_date"
+    reviews: DataFrame, as_of: str | Column, days: int = MAX_AGE_DAYS, column: str = "review_date", pivot_year: int | None = None
 ) -> DataFrame:
     """Reviews with a readable date at most ``days`` before ``as_of`` (a UTC timestamp)."""
     now = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     cutoff = now - F.make_dt_interval(F.lit(days))
-    return reviews.filter(parse_datetime(column) >= cutoff)
+    return reviews.filter(parse_datetime(column, pivot_year) >= cutoff)

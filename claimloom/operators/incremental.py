@@ -7,18 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import HOT_ROWS, skew_join
+from claimloom.operators.joins import skew_join
 
 
-def new_posts(
-    feed: DataFrame, stored: DataFrame, spread_by: Sequence[str] = ("post_text", "pub_date"), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def new_posts(feed: DataFrame, stored: DataFrame, spread_by: Sequence[str] = ("post_text", "pub_date")) -> DataFrame:
     """Feed rows whose guid is not stored yet.
 
     A row without guid is always new, and copies inside the feed are kept.
     """
     known = stored.select("guid").filter(F.col("guid").isNotNull()).distinct()
-    return skew_join(feed, known, "guid", spread_by, "left_anti", hot_rows).select(*feed.columns)
+    return skew_join(feed, known, "guid", spread_by, "left_anti").select(*feed.columns)
 
 
 def append_new_posts(stored: DataFrame, feed: DataFrame, **options) -> DataFrame:

@@ -1,9 +1,9 @@
-"""Lookups that hold when one key owns a large share of the rows.
+"""Lookups that hold when one key, or null, owns a large share of the rows.
 
 No side is broadcast by hint: adaptive execution broadcasts a side whose
-measured size is under ``spark.sql.autoBroadcastJoinThreshold``, and merges
-sorted sides beyond it. What that cannot repair, one key (or null) too big for
-a task, is salted here.
+measured size is under ``spark.sql.autoBroadcastJoinThreshold``, merges sorted
+sides beyond it, and splits the partitions of a key too big for one task. Rows
+with a null key match nothing; they are spread instead of meeting in one task.
 """
 
 from __future__ import annotations
@@ -13,49 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this is fine in one task.
-HOT_ROWS = 1_000_000
-# Keys the frequency sketch reports: every key with over 0.1 % of the rows is among them.
-TRACKED = 1_000
 
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """Keys with at least about ``min_rows`` rows, at most ``TRACKED`` of them.
-
-    One pass over the key column with a mergeable sketch. An estimate is
-    enough: which keys are salted changes the work, never the result.
-    """
-    row = df.filter(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {TRACKED})").alias("top")).first()
-    return [item["item"] for item in (row["top"] or []) if item["count"] >= min_rows]
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    spread_by: Sequence[str],
-    how: str = "left",
-    min_rows: int = HOT_ROWS,
-    fanout: int = 64,
-) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on: str, spread_by: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on a string key with a ``right`` that has each key once, for left, left_semi, left_anti or inner.
 
-    Left rows with a hot key get one of ``fanout`` salts from ``spread_by``
-    (columns that tell equal rows apart, so that a recomputed task salts alike),
-    and the hot right rows are copied once per salt. Null keys never match: each
-    gets a stand-in no right key equals, so that they do not pile up in one task.
-    Without hot keys a partitioning of ``right`` by key is reused.
+    A null key gets a stand-in that no right key equals, made from
+    ``spread_by`` (columns that tell equal rows apart, so that a recomputed
+    task spreads alike). Building the plan runs no job.
     """
-    hot = hot_keys(left, on, min_rows)
-    row_hash = F.xxhash64(*spread_by)
-    stand_in = F.concat(F.lit("\0"), row_hash.cast("string"))
+    stand_in = F.concat(F.lit("\0"), F.xxhash64(*spread_by).cast("string"))
     left = left.withColumn("_key", F.coalesce(F.col(on), stand_in))
-    right = right.withColumnRenamed(on, "_key")
-    keys = ["_key"]
-    if hot:
-        is_hot = F.col("_key").isin(*hot)
-        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))
-        left = left.withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(fanout)).cast("int")).otherwise(0))
-        right = right.withColumn("_salt", F.explode(salts))
-        keys.append("_salt")
-    return left.join(right, keys, how).drop(*keys)
+    # Spark splits a hot key only between two fresh shuffles; a right side grouped by the key would go without one.
+    right = right.withColumn("_key", F.concat(F.col(on), F.lit(""))).drop(on)
+    return left.join(right, "_key", how).drop("_key")

@@ -106,9 +106,21 @@ def costliest_sources(runs: DataFrame) -> DataFrame:
 
 
 def step_durations_wide(runs: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
-    """Step times of the latest runs, one column per step; null where a step did not run."""
+    """Step times of the latest runs, one column per step; null where a step did not run.
+
+    A run with a step beyond ``steps`` fails the job: name it in ``steps``, or
+    take ``step_durations_long``, which holds any.
+    """
+    other = F.array_except(F.map_keys("step_durations"), F.array(*[F.lit(s) for s in steps]))
+    refused = F.raise_error(F.concat(F.lit("steps without a column: "), F.array_join(other, ", ")))
     columns = [F.try_element_at("step_durations", F.lit(s)).alias(s) for s in steps]
-    return latest_run_per_source(runs).select("source", *columns)
+    source = F.when(F.size(other) > 0, refused).otherwise(F.col("source")).alias("source")
+    return latest_run_per_source(runs).select(source, *columns)
+
+
+def step_durations_long(runs: DataFrame) -> DataFrame:
+    """Step times of the latest runs, one row per source and step, whatever the steps are called."""
+    return latest_run_per_source(runs).select("source", F.explode("step_durations").alias("step", "seconds"))
 
 
 def precision_trend(runs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from claimloom.functions.html_tree import article_text_nested
 from claimloom.functions.text import MIN_ARTICLE_CHARS, min_length
 from claimloom.operators.adapters import ORDER
 from claimloom.operators.dedup import keep_first
-from claimloom.operators.joins import HOT_ROWS, skew_join
+from claimloom.operators.joins import skew_join
 from claimloom.schema import RAW_LINKS
 
 # Answers that mean the page is gone for good. 403 and 500 do not.
@@ -61,15 +61,19 @@ def attach_page_text(
     spread_by: Sequence[str] = (ORDER,),
     min_chars: int = MIN_ARTICLE_CHARS,
     nested: bool = False,
-    hot_rows: int = HOT_ROWS,
+    fan_in: int = 0,
 ) -> DataFrame:
     """Claims with http_status, article_text and image_url of their page; nulls without address or page.
 
-    A page is parsed once however many claims point at it.
+    A page is parsed once however many claims point at it, and only if one
+    does. HTML that will not be read travels in no shuffle: that of an answer
+    other than 200, and that of a page no claim names.
     """
-    one_each = keep_first(pages.filter(F.col("url").isNotNull()), ["url"], page_order)
+    named = claims.select(F.col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
+    readable = pages.withColumn("html", F.when(F.col("http_status") == 200, F.col("html")))
+    one_each = keep_first(readable.join(named, "url", "left_semi"), ["url"], page_order, fan_in)
     content = page_content(one_each, min_chars, nested).select(
         F.col("url").alias(url), "http_status", "article_text", "image_url"
     )
     fetched = [c for c in ("http_status", "article_text", "image_url") if c in claims.columns]
-    return skew_join(claims.drop(*fetched), content, url, spread_by, "left", hot_rows)
+    return skew_join(claims.drop(*fetched), content, url, spread_by, "left")

@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import HOT_ROWS, skew_join
+from claimloom.operators.joins import skew_join
 from claimloom.schema import CANONICAL, CLAIM_RECORD, LABELS, REQUIRED
 
 # Columns the load does not accept null in.
 NOT_NULL = ("record_id", "source", "claim_text", "label", "ingested_at")
 
 
-# Texts of the two issues a column can have.
+# Texts of the issues a column can have.
 MISSING_COLUMN = "Missing required column: %s"
 MISSING_VALUES = "Column '%s' is required but has %d missing value(s)"
+UNEXPECTED_LABEL = "Column 'label' has unexpected value: '%s'"
 
 
 def schema_issues(df: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def schema_issues(df: DataFrame) -> DataFrame:
     )
     message = F.when(
         F.col("issue") == "null_values", F.format_string(MISSING_VALUES, "column_name", "n_rows")
-    ).otherwise(F.format_string("Column 'label' has unexpected value: '%s'", "value"))
+    ).otherwise(F.format_string(UNEXPECTED_LABEL, "value"))
     issues = df.sparkSession.createDataFrame(absent, shape)
     return issues.unionByName(found.withColumn("message", message))
 
@@ -65,12 +66,17 @@ def require_load_columns(df: DataFrame) -> DataFrame:
     return df
 
 
+def broken_rules() -> dict[str, Column]:
+    """The rules a row can break by itself: name, and the condition under which it is broken."""
+    rules = {f"{c} not null": F.col(c).isNull() for c in NOT_NULL}
+    return rules | {"label in domain": ~F.col("label").isin(*LABELS)}
+
+
 def constraint_violations(
     claims: DataFrame,
     sources: DataFrame,
     publishers: DataFrame,
     spread_by: Sequence[str] = ("record_id",),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows the load must refuse, with the names of the rules each one breaks.
 
@@ -80,10 +86,9 @@ def constraint_violations(
     def known(dim: DataFrame, key: str) -> DataFrame:
         return dim.select(F.col("name").alias(key), F.lit(True).alias(f"_known_{key}"))
 
-    checked = skew_join(claims, known(sources, "source"), "source", spread_by, "left", hot_rows)
-    checked = skew_join(checked, known(publishers, "publisher_name"), "publisher_name", spread_by, "left", hot_rows)
-    rules = [F.when(F.col(c).isNull(), F.lit(f"{c} not null")) for c in NOT_NULL]
-    rules += [F.when(~F.col("label").isin(*LABELS), F.lit("label in domain"))]
+    checked = skew_join(claims, known(sources, "source"), "source", spread_by, "left")
+    checked = skew_join(checked, known(publishers, "publisher_name"), "publisher_name", spread_by, "left")
+    rules = [F.when(is_broken, F.lit(rule)) for rule, is_broken in broken_rules().items()]
     rules += [
         F.when(F.col(c).isNotNull() & F.col(f"_known_{c}").isNull(), F.lit(f"{c} references dimension"))
         for c in ("source", "publisher_name")

@@ -13,8 +13,8 @@ from claimloom.operators.dedup import keep_first, keep_last
 from claimloom.schema import CLAIM_RECORD
 
 
-def sink_values(df: DataFrame, contract: T.StructType = CLAIM_RECORD) -> DataFrame:
-    """Values as the store holds them: booleans 0/1, NaN null, timestamps ISO text, contract columns only."""
+def sink_values(df: DataFrame, contract: T.StructType = CLAIM_RECORD, beside: Sequence[str] = ()) -> DataFrame:
+    """Values as the store holds them: booleans 0/1, NaN null, timestamps ISO text; contract columns and those ``beside`` only."""
     columns = []
     for field in contract.fields:
         value, dtype = F.col(field.name), df.schema[field.name].dataType
@@ -23,27 +23,35 @@ def sink_values(df: DataFrame, contract: T.StructType = CLAIM_RECORD) -> DataFra
         elif isinstance(dtype, T.TimestampType):
             value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ssxxx")
         columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(columns)
+    return df.select(*columns, *beside)
 
 
-def upsert_source_dim(dim: DataFrame, batch: DataFrame, loaded_at: str) -> DataFrame:
-    """Dimension plus the batch's new sources; a known one keeps its first load time."""
+def new_sources(dim: DataFrame, batch: DataFrame, loaded_at: str) -> DataFrame:
+    """The batch's sources that the dimension lacks."""
     named = batch.select(F.col("source").alias("name")).filter(F.col("name").isNotNull()).distinct()
-    fresh = named.join(dim, "name", "left_anti").withColumn("first_loaded_at", F.lit(loaded_at))
-    return dim.unionByName(fresh)
+    return named.join(dim, "name", "left_anti").withColumn("first_loaded_at", F.lit(loaded_at))
 
 
-def upsert_publisher_dim(dim: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """Dimension plus the batch's new publishers, each with the first site seen.
+def upsert_source_dim(dim: DataFrame, batch: DataFrame, loaded_at: str) -> DataFrame:
+    """Dimension plus the batch's new sources; a known one keeps its first load time."""
+    return dim.unionByName(new_sources(dim, batch, loaded_at))
 
-    Known publishers stay as they are, also one stored without a site.
-    """
+
+def new_publishers(dim: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """The batch's publishers that the dimension lacks, each with the first site seen."""
     order = order or input_position(batch)
     named = batch.filter(F.col("publisher_name").isNotNull()).select(
         F.col("publisher_name").alias("name"), F.col("publisher_site").alias("site"), *order
     )
-    fresh = keep_first(named, ["name"], order).select("name", "site").join(dim, "name", "left_anti")
-    return dim.unionByName(fresh)
+    return keep_first(named, ["name"], order).select("name", "site").join(dim, "name", "left_anti")
+
+
+def upsert_publisher_dim(dim: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Dimension plus the batch's new publishers.
+
+    Known publishers stay as they are, also one stored without a site.
+    """
+    return dim.unionByName(new_publishers(dim, batch, order))
 
 
 def upsert_claims(target: DataFrame, batch: DataFrame, order: Sequence[str] | None = None) -> DataFrame:

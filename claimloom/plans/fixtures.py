@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.functions.urls import PUBLISHER_SITES
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -51,11 +53,8 @@ def _rating(id_: str) -> str:
       WHEN 8 THEN 'N/A' ELSE NULL END"""
 
 
-_SITES = (
-    "politifact.com,snopes.com,factcheck.org,fullfact.org,leadstories.com,factcheck.afp.com,reuters.com,apnews.com,"
-    "africacheck.org,boomlive.in,altnews.in,correctiv.org,maldita.es,newtral.es,rappler.com,verafiles.org,"
-    "example.org,example.net,blog.example.com,news.example.com"
-)
+# The known publishers and four others.
+_SITES = ",".join([*PUBLISHER_SITES, "example.org", "example.net", "blog.example.com", "news.example.com"])
 
 
 def _reviews(rating_shift: int) -> str:
@@ -136,7 +135,8 @@ VIEWS = {
     SELECT d.doc_id AS input_order, split_part(d.text, chr(10), 1) AS claim_text,
       CASE WHEN d.doc_id % 9 = 0 THEN NULL
         WHEN p.url IS NULL THEN concat('https://gone.example.com/', d.doc_id) ELSE p.url END AS article_url
-    FROM {documents} d LEFT JOIN {pages} p ON p.page_id = d.doc_id % 400""",
+    FROM (SELECT doc_id, text, doc_id % (SELECT greatest(count(*), 1) FROM {pages}) AS page_no FROM {documents}) d
+    LEFT JOIN {pages} p ON p.page_id = d.page_no""",
     # One run per event type and day, with three phases.
     "phases": """
     SELECT event_type AS source,

@@ -1,113 +1,217 @@
-"""Star tables kept as Parquet folders in shared storage.
-
-A load writes new folders and then appends one line to the commit list; readers
-follow the last line. A load that dies half-way leaves the stored state as it
-was, and running it again writes the same folder. One load runs at a time.
-
-Claims lie in folders by the leading hex digits of ``record_id``. Ids are
-hashes, so folders are even whatever the source mix, and a small batch rewrites
-only the folders its ids fall in.
+"""Star tables kept as append-only deltas in shared storage.
+
+A load writes its rows once, as a delta folder of its own, checks them there,
+adds the dimension rows that are new, and commits with one small folder of its
+own. What it writes depends on the batch, never on the store. Folder names are
+unique, so loads may run at the same time: none touches what another writes,
+and all of them arrive. A load that dies leaves folders that no commit names,
+which readers never see.
+
+Readers take the newest row for each ``record_id``, by the committed version,
+then the load's name. ``compact`` folds the deltas into a base, which keeps
+reads cheap; run it now and then. Loads that finish while it runs stay deltas.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimloom.operators.adapters import input_position
+from claimloom.operators.dedup import keep_first, keep_last
 from claimloom.operators.enrich import run_stamp
-from claimloom.operators.quality import require_load_columns, require_no_violations
-from claimloom.operators.upsert import load_summary, upsert_claims, upsert_publisher_dim, upsert_source_dim
+from claimloom.operators.quality import broken_rules, require_load_columns
+from claimloom.operators.upsert import new_publishers, new_sources, sink_values
 from claimloom.schema import CLAIM_RECORD, PUBLISHER_DIM, SOURCE_DIM
 
 COMMIT = T.StructType([
     T.StructField("version", T.LongType()),
+    T.StructField("load", T.StringType()),
     T.StructField("committed_at", T.StringType()),
-    T.StructField("source_path", T.StringType()),
-    T.StructField("publisher_path", T.StringType()),
-    T.StructField("claim_paths", T.MapType(T.StringType(), T.StringType())),
+    # The loads whose rows this one holds: set by a compaction only.
+    T.StructField("folds", T.ArrayType(T.StringType())),
 ])
+TABLES = {"claim_record": CLAIM_RECORD, "source": SOURCE_DIM, "publisher": PUBLISHER_DIM}
 
 
-def last_commit(spark: SparkSession, root: str) -> Row | None:
+def _commits(spark: SparkSession, root: str) -> list[Row]:
+    """The commits that count, oldest first: the last base and the loads it doesn't hold. One small row for each load since the last compaction."""
     try:
-        commits = spark.read.schema(COMMIT).json(f"{root}/_commits")
+        found = spark.read.schema(COMMIT).option("recursiveFileLookup", True).json(f"{root}/_commits")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return None
-    return commits.orderBy(F.col("version").desc()).first()
+        return []
+    rows = sorted(found.collect(), key=lambda c: (c["version"], c["load"]))
+    bases = [c for c in rows if c["folds"] is not None]
+    if not bases:
+        return rows
+    folded = {*bases[-1]["folds"], *(b["load"] for b in bases[:-1])}
+    return [bases[-1], *(c for c in rows if c["folds"] is None and c["load"] not in folded)]
+
+
+def last_commit(spark: SparkSession, root: str) -> Row | None:
+    return max(_commits(spark, root), key=lambda c: (c["version"], c["load"]), default=None)
+
 
+def _path(root: str, table: str, load: str) -> str:
+    return f"{root}/{table}/load={load}"
 
-def _read(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+def _stored(spark: SparkSession, root: str, table: str, commits: Sequence[Row]) -> DataFrame:
+    """Rows of a table in the given commits, each with its commit's version and load."""
+    schema = T.StructType([*TABLES[table].fields, T.StructField("load", T.StringType())])
+    if not commits:
+        return spark.createDataFrame([], schema).withColumn("version", F.lit(None).cast("long"))
+    paths = [_path(root, table, c["load"]) for c in commits]
+    rows = spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths)
+    versions = spark.createDataFrame([(c["load"], c["version"]) for c in commits], "load string, version long")
+    return rows.join(F.broadcast(versions), "load")  # as many rows as loads since the last compaction
+
+
+def _newest_claims(spark: SparkSession, root: str, commits: Sequence[Row]) -> DataFrame:
+    """The newest row for each id. The base holds each id once, and only ids of deltas are taken out of it."""
+    bases = [c for c in commits if c["folds"] is not None]
+    deltas = [c for c in commits if c["folds"] is None]
+    newest = _stored(spark, root, "claim_record", deltas)
+    if len(deltas) > 1:  # one delta holds each id once
+        newest = keep_last(newest, ["record_id"], ["version", "load"])
+    newest = newest.select(*CLAIM_RECORD.fieldNames())
+    if not bases:
+        return newest
+    base = _stored(spark, root, "claim_record", bases).select(*CLAIM_RECORD.fieldNames())
+    if not deltas:
+        return base
+    ids = _stored(spark, root, "claim_record", deltas).select("record_id").distinct()
+    return base.join(ids, "record_id", "left_anti").unionByName(newest)
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored tables: source, publisher, claim_record; empty before the first load."""
-    commit = last_commit(spark, root)
-    if commit is None:
-        return {
-            "source": _read(spark, [], SOURCE_DIM),
-            "publisher": _read(spark, [], PUBLISHER_DIM),
-            "claim_record": _read(spark, [], CLAIM_RECORD),
-        }
-    return {
-        "source": _read(spark, [commit["source_path"]], SOURCE_DIM),
-        "publisher": _read(spark, [commit["publisher_path"]], PUBLISHER_DIM),
-        "claim_record": _read(spark, sorted(commit["claim_paths"].values()), CLAIM_RECORD),
-    }
-
-
-def load_star(
-    spark: SparkSession,
-    root: str,
-    batch: DataFrame,
-    order: Sequence[str] | None = None,
-    loaded_at: str | None = None,
-    folder_digits: int = 2,
-    split_digits: int = 1,
-) -> Row:
-    """Upsert curated rows into the star tables; returns the batch's summary.
-
-    ``batch`` is read several times: pass written files, not a long plan. Its
-    rows follow ``order``, by default the bookkeeping columns it carries. A broken rule (null in a required column, label outside the domain) refuses
-    the whole load. ``folder_digits`` fixes the number of claim folders (16 to
-    that power, keep it constant per store), ``split_digits`` how many pieces a
-    rewritten folder has at least; raise it with the size of the store.
+    return _read_star(spark, root, _commits(spark, root))
+
+
+def _read_star(spark: SparkSession, root: str, commits: Sequence[Row]) -> dict[str, DataFrame]:
+    tables = {"claim_record": _newest_claims(spark, root, commits)}
+    for name in ("source", "publisher"):
+        # Loads at the same time may each add a name; the first one counts.
+        rows = _stored(spark, root, name, commits)
+        tables[name] = keep_first(rows, ["name"], ["version", "load"]).select(*TABLES[name].fieldNames())
+    return tables
+
+
+@dataclass
+class StagedLoad:
+    """A batch written as a delta and not committed yet."""
+
+    spark: SparkSession
+    root: str
+    load: str
+    loaded_at: str
+    order: tuple[str, ...]
+
+    def rows(self) -> DataFrame:
+        """The stored columns, the publisher's site and the columns that order the batch."""
+        return self.spark.read.parquet(_path(self.root, "claim_record", self.load))
+
+
+def stage_load(
+    spark: SparkSession, root: str, batch: DataFrame, loaded_at: str | None = None, order: Sequence[str] | None = None
+) -> StagedLoad:
+    """Write curated rows as a delta; the plan behind ``batch`` runs once.
+
+    Of rows that repeat an id the last one counts, in ``order``: by default the
+    bookkeeping columns the batch carries.
     """
     require_load_columns(batch)
-    loaded_at = loaded_at or run_stamp()
-    commit = last_commit(spark, root)
-    version = (commit["version"] if commit else 0) + 1
-    stored = read_star(spark, root)
-
-    source_path, publisher_path = f"{root}/source/v={version}", f"{root}/publisher/v={version}"
-    upsert_source_dim(stored["source"], batch, loaded_at).write.mode("overwrite").parquet(source_path)
-    upsert_publisher_dim(stored["publisher"], batch, order).write.mode("overwrite").parquet(publisher_path)
-    sources, publishers = _read(spark, [source_path], SOURCE_DIM), _read(spark, [publisher_path], PUBLISHER_DIM)
-    require_no_violations(batch, sources, publishers)
-
-    folder = F.substring("record_id", 1, folder_digits)
-    # At most 16 ** folder_digits values.
-    touched = {row["folder"] for row in batch.select(folder.alias("folder")).distinct().collect()}
-    paths = dict(commit["claim_paths"]) if commit else {}
-    target = _read(spark, sorted(paths[f] for f in touched if f in paths), CLAIM_RECORD)
-    claims_path = f"{root}/claim_record/v={version}"
-    piece = F.substring("record_id", folder_digits + 1, split_digits)
-    (
-        upsert_claims(target, batch, order)
-        .withColumn("folder", folder)
-        .repartition("folder", piece)
-        .write.mode("overwrite")
-        .partitionBy("folder")
-        .parquet(claims_path)
-    )
-
-    paths |= {f: f"{claims_path}/folder={f}" for f in touched}
-    entry = spark.createDataFrame([(version, loaded_at, source_path, publisher_path, paths)], COMMIT)
-    entry.coalesce(1).write.mode("append").json(f"{root}/_commits")
-    return load_summary(batch).first()
+    staged = StagedLoad(spark, root, uuid.uuid4().hex, loaded_at or run_stamp(), tuple(order or input_position(batch)))
+    beside = [c for c in dict.fromkeys(("publisher_site", *staged.order)) if c in batch.columns]
+    last = sink_values(keep_last(batch, ["record_id"], staged.order), beside=beside)
+    last.hint("rebalance").write.parquet(_path(root, "claim_record", staged.load))
+    return staged
+
+
+def _names(staged: StagedLoad) -> DataFrame:
+    """One row for each source and publisher of a delta: rows, broken rules, the first site in order."""
+    rows = staged.rows()
+    site = F.col("publisher_site") if "publisher_site" in rows.columns else F.lit(None).cast("string")
+    at = F.struct(*staged.order)
+    broken = broken_rules()
+    path = _path(staged.root, "_names", staged.load)
+    rows.groupBy("source", "publisher_name").agg(
+        F.count("*").alias("n"),
+        F.min_by(F.struct(site.alias("site")), at)["site"].alias("publisher_site"),
+        F.min(at).alias("at"),
+        *[F.count_if(is_broken).alias(rule) for rule, is_broken in broken.items()],
+        F.min(F.when(F.greatest(*[F.coalesce(b, F.lit(False)) for b in broken.values()]), F.col("record_id"))).alias("example"),
+    ).write.parquet(path)
+    return staged.spark.read.parquet(path)
+
+
+def _refuse_broken(names: DataFrame) -> None:
+    """Raise when a row breaks a rule, naming the rules and a record."""
+    rules = list(broken_rules())
+    found = names.agg(F.min("example").alias("example"), *[F.sum(F.col(f"`{rule}`")).alias(rule) for rule in rules]).first()
+    if any(found[rule] for rule in rules):
+        raise ValueError(f"load refused: {({rule: found[rule] for rule in rules if found[rule]})} row(s), record {found['example']} among them")
+
+
+def commit_load(staged: StagedLoad) -> Row:
+    """Check a staged load, add its new dimension rows and commit it; returns the batch's summary.
+
+    A broken rule (null in a required column, label outside the domain)
+    refuses the whole load. Its dimension rows come from the batch itself, so
+    no name can be unknown.
+    """
+    spark, root = staged.spark, staged.root
+    names = _names(staged)
+    _refuse_broken(names)
+    commits = _commits(spark, root)
+    stored = _read_star(spark, root, commits)
+    new_sources(stored["source"], names, staged.loaded_at).write.parquet(_path(root, "source", staged.load))
+    new_publishers(stored["publisher"], names, ["at"]).write.parquet(_path(root, "publisher", staged.load))
+    summary = names.agg(
+        F.count_distinct("source").alias("sources"),
+        F.count_distinct("publisher_name").alias("publishers"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("claim_records"),
+    ).first()
+    _commit(spark, root, staged.load, staged.loaded_at, None)
+    return summary
+
+
+def _commit(spark: SparkSession, root: str, load: str, at: str, folds: list[str] | None) -> None:
+    """One row in a folder of its own: it is there as a whole or not at all, and no other load writes into it.
+
+    Loads at the same time may get one version; the load's name then decides.
+    """
+    last = last_commit(spark, root)
+    row = ((last["version"] if last else 0) + 1, load, at, folds)
+    spark.createDataFrame([row], COMMIT).coalesce(1).write.json(f"{root}/_commits/load={load}")
+
+
+def load_star(spark: SparkSession, root: str, batch: DataFrame, order: Sequence[str] | None = None, loaded_at: str | None = None) -> Row:
+    """Upsert curated rows into the star tables, in one pass over the plan behind ``batch``; returns the batch's summary."""
+    return commit_load(stage_load(spark, root, batch, loaded_at, order))
+
+
+def compact(spark: SparkSession, root: str, compacted_at: str | None = None) -> None:
+    """Fold all committed loads into a new base; what is stored stays as it was.
+
+    Old folders are left for readers that still use them.
+    """
+    commits = _commits(spark, root)
+    if len(commits) < 2:
+        return
+    load = uuid.uuid4().hex
+    for name, rows in _read_star(spark, root, commits).items():
+        rows.hint("rebalance").write.parquet(_path(root, name, load))
+    folds = [c["load"] for c in commits if c["folds"] is None]
+    for c in commits:
+        folds += c["folds"] or []
+    _commit(spark, root, load, compacted_at or run_stamp(), folds)

@@ -420,7 +420,7 @@ SQL = {
         SELECT input_order, 'claim_text not null' AS violation FROM rows_ WHERE claim_text IS NULL
         UNION ALL SELECT input_order, 'label not null' FROM rows_ WHERE label IS NULL
         UNION ALL SELECT input_order, 'publisher_name references dimension' FROM rows_ WHERE publisher_name = 'src7'""",
-    "export_dataset": f"SELECT * EXCLUDE (article_text) FROM (SELECT {CANONICAL_ORDER} FROM ({CURATED}))",
+    "export_dataset": f"SELECT {CANONICAL_ORDER} FROM ({CURATED})",
     "run_manifest": f"""
         SELECT 'all' AS source, 'in' AS input_path, 'out' AS output_path, count(*) AS row_count, '{AS_OF}' AS generated_at,
           count(*) FILTER (label = 'fake') AS n_fake, count(*) FILTER (label = 'true') AS n_true,
@@ -445,14 +445,16 @@ SQL = {
         SELECT * REPLACE (source || '_again' AS source)
         FROM (SELECT {RUN_COLUMNS}, step_extract, step_clean, step_load FROM {{runs}})""",
     "value_to_sink": f"""
-        SELECT record_id, CAST(has_valid_image AS INT) AS has_valid_image, article_text_length FROM ({CURATED})""",
+        SELECT * REPLACE (nullif(article_text_length, 0) AS article_text_length,
+          strftime(CAST(published_at AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S+00:00') AS published_at)
+        FROM (SELECT {STORED_COLUMNS} FROM ({CURATED}))""",
     # incremental and streaming
     "incremental_new_posts": """
         SELECT * FROM {raw_posts} WHERE guid IS NULL OR guid NOT IN (SELECT guid FROM {stored_posts} WHERE guid IS NOT NULL)""",
     "append_new_posts": """
-        SELECT * EXCLUDE (image_url) FROM {stored_posts}
+        SELECT * REPLACE (CAST(NULL AS VARCHAR) AS image_url) FROM {stored_posts}
         UNION ALL
-        SELECT * EXCLUDE (image_url) FROM {raw_posts}
+        SELECT * FROM {raw_posts}
         WHERE guid IS NULL OR guid NOT IN (SELECT guid FROM {stored_posts} WHERE guid IS NOT NULL)""",
     "stream_dedup_posts": f"""
         WITH both_polls AS (SELECT * FROM {{stored_posts}} UNION ALL SELECT * FROM {{raw_posts}}),
@@ -484,6 +486,19 @@ SQL = {
           max(elapsed_seconds) FILTER (phase_no = 3) AS step_load,
           max(elapsed_seconds) FILTER (from_last = 1) AS step_export
         FROM phase GROUP BY source, run_timestamp""",
+    "step_timings": f"""
+        WITH ranked AS (
+          SELECT claim_text, label, row_number() OVER (
+            PARTITION BY claim_text IS NULL, coalesce(article_url, claim_text) ORDER BY input_order) AS copy
+          FROM ({keyed(adapted_reviews())}))
+        SELECT 'google_factcheck' AS source, '{AS_OF}' AS run_timestamp, count(*) AS rows_read,
+          count(*) FILTER (claim_text IS NOT NULL AND copy = 1 AND label IS NOT NULL) AS rows_exported,
+          {rounded('CAST(100 * count(*) FILTER (claim_text IS NOT NULL AND copy = 1 AND label IS NOT NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 2)} AS pct_valid,
+          count(*) FILTER (claim_text IS NULL) AS rows_dropped_missing_text,
+          count(*) FILTER (claim_text IS NOT NULL AND copy > 1) AS rows_dropped_duplicate,
+          count(*) FILTER (claim_text IS NOT NULL AND copy = 1 AND label IS NULL) AS rows_dropped_label,
+          'clean,export' AS steps
+        FROM ranked""",
     "latest_run_per_source": f"SELECT {RUN_COLUMNS} FROM ({LATEST})",
     "overview_kpis": f"""
         SELECT {rounded(mean('pct_valid'), 2)} AS mean_pct_valid, {rounded(mean('duration_seconds'), 2)} AS mean_duration_seconds,

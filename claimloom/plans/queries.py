@@ -29,10 +29,10 @@ from claimloom.operators.cleaning import (
 )
 from claimloom.operators.dedup import distinct_reviews
 from claimloom.operators.enrich import enrich_claims, stamp_ingested_at
-from claimloom.plans.curate import PhaseTimer, adapt_all, curate_claims
+from claimloom.plans.curate import adapt_all, curate_claims, run_curation
 from claimloom.plans.fixtures import AS_OF, PIVOT_YEAR, VIEWS, view
 from claimloom.plans.load import read_star
-from claimloom.schema import CLAIM_PAYLOAD, PHASE_SNAPSHOT, RAW_ARTICLES, RAW_REVIEWS, RUN_RECORD, project
+from claimloom.schema import CLAIM_PAYLOAD, DROP_REASONS, PHASE_SNAPSHOT, RAW_ARTICLES, RAW_REVIEWS, RUN_RECORD, project
 from claimloom.session import prepare, scratch_dir
 from claimloom.sources import readers, sinks
 from claimloom.streaming.curate import start_curation
@@ -130,7 +130,8 @@ def stream(spark, sf_dir, table: str) -> DataFrame:
 @query
 def read_raw_csv(spark, sf_dir):
     path = scratch_dir(spark, "raw_csv")
-    view(spark, sf_dir, "raw_reviews").select(*RAW_REVIEWS.fieldNames()).write.options(**sinks.CSV_WRITE).csv(path)
+    # The file has its columns in another order than the contract.
+    view(spark, sf_dir, "raw_reviews").select(*sorted(RAW_REVIEWS.fieldNames())).write.options(**sinks.CSV_WRITE).csv(path)
     return readers.read_raw_csv(spark, path, RAW_REVIEWS).drop(ORDER)
 
 
@@ -194,7 +195,7 @@ def parse_post_feed(spark, sf_dir):
     view(spark, sf_dir, "raw_posts").select(
         F.col("post_url").alias("link"), F.col("post_text").alias("description"), F.col("pub_date").alias("pubDate"), "guid"
     ).write.format("xml").options(rowTag="item", rootTag="channel").save(path)
-    return readers.parse_post_feed(spark, path).withColumn("pub_date", iso_utc("pub_date"))
+    return readers.parse_post_feed(spark, path).drop(ORDER).withColumn("pub_date", iso_utc("pub_date"))
 
 
 @query
@@ -221,7 +222,7 @@ def publisher_site_filter(spark, sf_dir):
 
 @query
 def max_age_filter(spark, sf_dir):
-    return explore.max_age_filter(reviews(spark, sf_dir), AS_OF).select(ORDER, "review_date")
+    return explore.max_age_filter(reviews(spark, sf_dir), AS_OF, pivot_year=PIVOT_YEAR).select(ORDER, "review_date")
 
 
 # --- pages --------------------------------------------------------------------------------------------
@@ -363,12 +364,12 @@ def normalize_datetime_(spark, sf_dir):
 
 @query
 def drop_missing_text_(spark, sf_dir):
-    return drop_missing_text(clean_keys(adapted_reviews(spark, sf_dir))).select(ORDER, "claim_text")
+    return clean_keys(drop_missing_text(adapted_reviews(spark, sf_dir))).select(ORDER, "claim_text")
 
 
 @query
 def dedup_keep_first_(spark, sf_dir):
-    kept = dedup_keep_first(drop_missing_text(clean_keys(adapted_reviews(spark, sf_dir))))
+    kept = dedup_keep_first(clean_keys(drop_missing_text(adapted_reviews(spark, sf_dir))))
     return kept.select(ORDER, "article_url", "claim_text", "article_text")
 
 
@@ -448,7 +449,7 @@ def constraint_violations(spark, sf_dir):
 def export_dataset(spark, sf_dir):
     path = scratch_dir(spark, "export")
     claims = curate_claims(collections(spark, sf_dir), AS_OF, PIVOT_YEAR)
-    return sinks.export_dataset(claims, path, "all", sf_dir, generated_at=AS_OF).drop("article_text")
+    return sinks.export_dataset(claims, path, "all", sf_dir, generated_at=AS_OF)
 
 
 @query
@@ -509,9 +510,11 @@ def append_run_record(spark, sf_dir):
 
 @query
 def value_to_sink(spark, sf_dir):
-    return upsert.sink_values(curate_claims(collections(spark, sf_dir), AS_OF, PIVOT_YEAR)).select(
-        "record_id", "has_valid_image", "article_text_length"
-    )
+    """All stored columns; the length as a fraction, not a number without text, and a time for the date of publication."""
+    claims = curate_claims(collections(spark, sf_dir), AS_OF, PIVOT_YEAR)
+    length = F.when(F.col("article_text_length") > 0, F.col("article_text_length").cast("double")).otherwise(F.lit(float("nan")))
+    typed = claims.withColumns({"article_text_length": length, "published_at": F.col("published_at").cast("timestamp")})
+    return upsert.sink_values(typed)
 
 
 # --- incremental and streaming ------------------------------------------------------------------------------
@@ -525,7 +528,7 @@ def incremental_new_posts(spark, sf_dir):
 @query
 def append_new_posts(spark, sf_dir):
     feed, stored = view(spark, sf_dir, "raw_posts"), view(spark, sf_dir, "stored_posts")
-    return incremental.append_new_posts(stored.drop("image_url"), feed.drop("image_url"), spread_by=(ORDER,))
+    return incremental.append_new_posts(stored.drop("image_url"), feed, spread_by=(ORDER,))
 
 
 @query
@@ -572,12 +575,13 @@ def merge_phase_metrics(spark, sf_dir):
 
 @query
 def step_timings(spark, sf_dir):
-    """Counts and step times of a curation, measured while it runs."""
-    timer = PhaseTimer("google_factcheck", AS_OF)
-    rows = adapted_reviews(spark, sf_dir)
-    with timer.step("clean"):
-        timer.counts.update(drop_counts(rows).first().asDict())
-    return metrics.merge_phase_metrics(timer.snapshot(spark))
+    """The record of a curation that counted while it ran: its counts, and the names of its timed steps."""
+    path = scratch_dir(spark, "recorded_run")
+    _, phases = run_curation("google_factcheck", reviews(spark, sf_dir), path, ingested_at=AS_OF)
+    return metrics.merge_phase_metrics(phases).select(
+        "source", "run_timestamp", "rows_read", "rows_exported", "pct_valid", *DROP_REASONS,
+        F.array_join(F.sort_array(F.map_keys("step_durations")), ",").alias("steps"),
+    )
 
 
 @query

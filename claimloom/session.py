@@ -26,8 +26,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", app: str = "claimloom", **conf: str) -> SparkSession:
-    """A single-machine session for tests and the bench; clusters bring their own."""
+def local_session(
+    cores: int | str = "*", app: str = "claimloom", shared: str | None = None, **conf: str
+) -> SparkSession:
+    """A single-machine session for tests and the bench; clusters bring their own.
+
+    ``shared`` is the scratch folder, a new temporary one by default: here one machine runs all tasks.
+    """
+    conf.setdefault("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="claimloom-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -44,19 +50,11 @@ def local_session(cores: int | str = "*", app: str = "claimloom", **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    ``spark.checkpoint.dir`` wins. Only a local session may fall back to a
-    folder of this machine: on a cluster the executors would not see it.
-    """
+    """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="claimloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir, before the session starts, to a folder that all executors share")
+    return configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -18,8 +18,9 @@ from claimloom.operators.dedup import distinct_reviews
 from claimloom.operators.sampling import sample_rows
 from claimloom.schema import CLAIM_PAYLOAD, FEED_ITEM, RAW_ARTICLES, RUN_RECORD
 
-# Doubled quotes and line breaks inside quoted fields, as CSV writers of other tools produce them.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# Doubled quotes and line breaks inside quoted fields, as CSV writers of other tools produce them. A row with more or
+# fewer fields than its header fails the job instead of giving shifted values; so does a file whose header differs.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
 
 
 def _in_input_order(df: DataFrame) -> DataFrame:
@@ -36,17 +37,46 @@ def _in_input_order(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDER, position)
 
 
-def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, ordered: bool = True) -> DataFrame:
-    """Raw CSV as strings, missing-value tokens null, with ``input_order``."""
-    raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
-    return na_tokens_to_null(_in_input_order(raw) if ordered else raw)
+def read_raw_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType,
+    ordered: bool = True,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Raw CSV as strings, columns by the names in its header, missing-value tokens null, with ``input_order``.
+
+    Columns of ``schema`` come first, in its order; those the files lack are
+    absent, so that ``require_columns`` sees it; others follow. Files below one
+    path share a header; give paths with different headers one by one. Without
+    ``multi_line``, for files known to hold no line break inside a field, Spark
+    splits within files.
+    """
+    def one(at: str) -> DataFrame:
+        header = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(at).columns
+        found = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        rows = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(found).csv(at)
+        return _in_input_order(rows) if ordered else rows
+
+    paths = [path] if isinstance(path, str) else list(path)
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in paths])
+    return na_tokens_to_null(_contract_first(raw, schema))
+
+
+def _contract_first(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    listed = [name for name in schema.fieldNames() if name in raw.columns]
+    return raw.select(*listed, *[F.col(f"`{name}`") for name in raw.columns if name not in listed])
 
 
 def read_raw_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Raw rows landed as Parquet, which splits within a file, with ``input_order`` from file and row number."""
-    raw = spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
+    """Raw rows landed as Parquet, which splits within a file, with ``input_order`` from file and row number.
+
+    Columns go by name as in ``read_raw_csv``, and those of ``schema`` are read as strings; columns of any file count.
+    """
+    raw = spark.read.option("mergeSchema", True).parquet(*([path] if isinstance(path, str) else path))
     position = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return na_tokens_to_null(raw.withColumn(ORDER, position))
+    texts = {name: F.col(name).cast("string") for name in schema.fieldNames() if name in raw.columns}
+    return na_tokens_to_null(_contract_first(raw.withColumn(ORDER, position).withColumns(texts), schema))
 
 
 def labeled_file_union(
@@ -54,9 +84,9 @@ def labeled_file_union(
     files: Sequence[tuple[str, str]],
     schema: T.StructType = RAW_ARTICLES,
     max_rows_per_file: int | None = None,
-    key: str = "title",
+    key: str = ORDER,
 ) -> DataFrame:
-    """Label files of (path, label), each tagged with its label, in the order given."""
+    """Label files of (path, label), each tagged with its label, in the order given; samples are drawn by ``key``, unique in a file."""
     def tagged(position: int, path: str, label: str) -> DataFrame:
         rows = sample_rows(read_raw_csv(spark, path, schema), max_rows_per_file, key)
         order = F.struct(F.lit(position).alias("position"), F.col(ORDER).alias("at"))
@@ -95,7 +125,7 @@ def read_claim_payloads(spark: SparkSession, path: str, one_per_line: bool = Fal
     return flatten_claim_reviews(_in_input_order(raw))
 
 
-def feed_posts(items: DataFrame) -> DataFrame:
+def feed_posts(items: DataFrame, pivot_year: int | None = None) -> DataFrame:
     """Feed items -> post_url, post_text, pub_date, guid, article_url.
 
     The article is usually the last link a post mentions. Unreadable dates are null.
@@ -106,16 +136,16 @@ def feed_posts(items: DataFrame) -> DataFrame:
         *carried,
         F.col("link").alias("post_url"),
         text.alias("post_text"),
-        parse_datetime("pubDate").alias("pub_date"),
+        parse_datetime("pubDate", pivot_year).alias("pub_date"),
         "guid",
         last_url_in_text(text).alias("article_url"),
     )
 
 
 def parse_post_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Stored RSS documents, one row per item."""
+    """Stored RSS documents, one row per item, with ``input_order``."""
     items = spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path)
-    return feed_posts(items)
+    return feed_posts(_in_input_order(items))
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.enrich import run_stamp
-from claimloom.operators.quality import MISSING_COLUMN, MISSING_VALUES, schema_issues
+from claimloom.operators.quality import MISSING_COLUMN, MISSING_VALUES, UNEXPECTED_LABEL, schema_issues
 from claimloom.schema import LABELS, REQUIRED, RUN_RECORD
 
 CSV_WRITE = {
@@ -20,68 +20,62 @@ def run_manifest(
 ) -> DataFrame:
     """One row that describes a dataset: where from, where to, size, labels, issues.
 
-    ``label_distribution`` counts the domain's labels that occur, and all others
-    under "(unexpected)". ``schema_issues`` holds one message per required
-    column with an issue; every unexpected label is listed by ``schema_issues``
-    the operator, which is written next to the manifest.
+    ``label_distribution`` counts every label that occurs and ``schema_issues``
+    names every unexpected one, as ``schema_issues`` the operator does row by
+    row. Rows are counted per label first, so one row for each label meets.
     """
     label = F.col("label") if "label" in df.columns else F.lit(None).cast("string")
-    counts = {name: F.count_if(label == name) for name in LABELS}
-    counts["(unexpected)"] = F.count_if(label.isNotNull() & ~label.isin(*LABELS))
-    entries = F.array(*[F.struct(F.lit(name).alias("label"), n.alias("n")) for name, n in counts.items()])
-    messages = [
-        F.lit(MISSING_COLUMN % c)
-        if c not in df.columns
-        else F.when(
-            F.count_if(F.col(c).isNull()) > 0,
-            F.format_string(MISSING_VALUES, F.lit(c), F.count_if(F.col(c).isNull())),
-        )
-        for c in REQUIRED
+    present = [c for c in REQUIRED if c in df.columns]
+    per_label = df.groupBy(label.alias("_label")).agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_no_{c}") for c in present])
+    found = [F.lit(MISSING_COLUMN % c) for c in REQUIRED if c not in df.columns]
+    found += [
+        F.when(F.sum(f"_no_{c}") > 0, F.format_string(MISSING_VALUES, F.lit(c), F.sum(f"_no_{c}"))) for c in present
     ]
-    messages.append(
-        F.when(
-            counts["(unexpected)"] > 0,
-            F.format_string("Column 'label' has unexpected values in %d row(s)", counts["(unexpected)"]),
-        )
-    )
-    return df.agg(
+    named = F.col("_label").isNotNull()
+    strays = F.collect_list(F.when(named & ~F.col("_label").isin(*LABELS), F.format_string(UNEXPECTED_LABEL, "_label")))
+    return per_label.agg(
         F.lit(source).alias("source"),
         F.lit(input_path).alias("input_path"),
         F.lit(output_path).alias("output_path"),
-        F.count("*").alias("row_count"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("row_count"),
         F.lit(generated_at or run_stamp()).alias("generated_at"),
-        F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)).alias("label_distribution"),
-        F.array_compact(F.array(*messages)).alias("schema_issues"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.when(named, F.struct(F.col("_label").alias("label"), F.col("_n").alias("n")))))).alias("label_distribution"),
+        F.concat(F.array_compact(F.array(*found)), F.sort_array(strays)).alias("schema_issues"),
     )
 
 
-def export_dataset(
-    df: DataFrame,
-    output_path: str,
-    source: str,
-    input_path: str,
-    fmt: str = "parquet",
-    generated_at: str | None = None,
-) -> DataFrame:
-    """Write a dataset, its manifest (``<output>.manifest``) and issues (``<output>.issues``).
-
-    Issues never stop the export. The reports read the written files back, so
-    the plan behind ``df`` runs once. Returns the written dataset.
-    """
+def write_dataset(df: DataFrame, output_path: str, fmt: str = "parquet") -> DataFrame:
+    """Write a dataset and return it as written, so the plan behind ``df`` runs once."""
     spark = df.sparkSession
     writer = df.write.mode("overwrite")
     if fmt == "parquet":
         writer.parquet(output_path)
-        written = spark.read.schema(df.schema).parquet(output_path)
-    elif fmt == "csv":
+        return spark.read.schema(df.schema).parquet(output_path)
+    if fmt == "csv":
         writer.options(**CSV_WRITE).csv(output_path)
         reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
-        written = reader.schema(df.schema).csv(output_path)
-    else:
-        raise ValueError(f"unknown format {fmt!r}; available: csv, parquet")
+        return reader.schema(df.schema).csv(output_path)
+    raise ValueError(f"unknown format {fmt!r}; available: csv, parquet")
+
+
+def write_reports(written: DataFrame, output_path: str, source: str, input_path: str, generated_at: str | None = None) -> None:
+    """The manifest (``<output>.manifest``) and issues (``<output>.issues``) of a written dataset."""
     manifest = run_manifest(written, source, input_path, output_path, generated_at)
     manifest.coalesce(1).write.mode("overwrite").json(f"{output_path}.manifest")
     schema_issues(written).write.mode("overwrite").json(f"{output_path}.issues")
+
+
+def export_dataset(
+    df: DataFrame,
+    output_path: str,
+    source: str,
+    input_path: str,
+    fmt: str = "parquet",
+    generated_at: str | None = None,
+) -> DataFrame:
+    """Write a dataset, its manifest and its issues, which never stop the export; returns the written dataset."""
+    written = write_dataset(df, output_path, fmt)
+    write_reports(written, output_path, source, input_path, generated_at)
     return written
 
 

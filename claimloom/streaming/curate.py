@@ -16,18 +16,16 @@ def start_curation(
     checkpoint: str,
     ingested_at: str | None = None,
     pivot_year: int | None = None,
+    fan_in: int = 0,
 ) -> StreamingQuery:
-    """Each micro-batch is curated, written to ``<root>/_staging`` and upserted into the star at ``root``.
+    """Each micro-batch is curated into a delta of the star at ``root`` and committed.
 
-    A batch that runs again overwrites its staging folder and upserts the same
-    ids once more, so a restart leaves no copies.
+    A batch that runs again upserts the same ids once more, so a restart leaves
+    no copies. Run ``compact`` beside the stream now and then.
     """
     def curate_and_load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = f"{root}/_staging/{source}/batch={batch_id}"
-        claims = curate_claims({source: batch}, ingested_at, pivot_year, keep_order=True)
-        claims.write.mode("overwrite").parquet(staged)
-        load_star(spark, root, spark.read.parquet(staged), loaded_at=ingested_at)
+        claims = curate_claims({source: batch}, ingested_at, pivot_year, keep_order=True, fan_in=fan_in)
+        load_star(batch.sparkSession, root, claims, loaded_at=ingested_at)
 
     return (
         raw.writeStream.foreachBatch(curate_and_load)

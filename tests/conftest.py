@@ -11,8 +11,6 @@ from claimloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, app="claimloom-tests")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session(8, app="claimloom-tests", shared=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

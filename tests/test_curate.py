@@ -9,14 +9,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from claimloom.operators.adapters import ADAPTERS, adapt, adapt_labeled_articles, adapt_news_links, offending_labels
-from claimloom.operators.cleaning import clean_claims, clean_keys, dedup_keep_first, drop_counts
+from claimloom.operators.cleaning import clean_claims, clean_keys, dedup_keep_first, drop_counts, drop_missing_text
 from claimloom.operators.dedup import distinct_reviews, keep_first, keep_last
 from claimloom.operators.enrich import enrich_claims
 from claimloom.operators.quality import (
     canonical_roles, constraint_violations, require_load_columns, require_no_violations, schema_issues,
 )
 from claimloom.operators.sampling import sample_per_file
-from claimloom.plans.curate import curate_claims, run_curation
+from claimloom.plans.curate import curate_claims, phase_snapshot, run_curation
 from claimloom.schema import CANONICAL, RAW_ARTICLES, RAW_REVIEWS, REQUIRED, fields_with_role, project
 from claimloom.sources.readers import (
     labeled_file_union, parse_post_feed, read_claim_payloads, read_raw_csv, read_raw_parquet, read_run_metrics,
@@ -215,7 +215,8 @@ def test_issues_do_not_stop_the_export(spark, tmp_path):
     out = str(tmp_path / "bad")
     export_dataset(bad, out, "s", "in")
     manifest = spark.read.json(f"{out}.manifest").first()
-    assert len(manifest["schema_issues"]) == 2 and manifest["label_distribution"]["(unexpected)"] == 1
+    assert len(manifest["schema_issues"]) == 2 and manifest["label_distribution"]["odd"] == 1
+    assert manifest["schema_issues"][1] == "Column 'label' has unexpected value: 'odd'"
     assert spark.read.json(f"{out}.issues").count() == 2
 
 
@@ -308,8 +309,8 @@ def test_run_is_recorded(spark, tmp_path):
     history = str(tmp_path / "runs")
     assert read_run_metrics(spark, history).count() == 0
     for _ in range(2):
-        written, timer = run_curation("google_factcheck", raw, str(tmp_path / "out"), history, "raw.csv", STAMP)
-    assert written.count() == 2 and timer.counts["rows_exported"] == 2
+        written, phases = run_curation("google_factcheck", raw, str(tmp_path / "out"), history, "raw.csv", STAMP)
+    assert written.count() == 2 and phases.first()["counts"]["rows_exported"] == 2
     runs = read_run_metrics(spark, history)
     assert runs.count() == 2 and runs.schema["run_timestamp"].dataType.simpleString() == "timestamp"
     record = runs.first()
@@ -322,3 +323,96 @@ def test_enrich_without_optional_columns(spark):
     df = spark.createDataFrame([("s", "t")], "source string, claim_text string")
     row = enrich_claims(df, STAMP).first()
     assert row["article_text_length"] == 0 and row["ingested_at"] == STAMP and len(row["record_id"]) == 16
+
+
+def test_raw_columns_go_by_name(spark, tmp_path):
+    def csv(name, text):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+        return str(tmp_path / name)
+
+    moved = csv("moved.csv", 'label,subject,title,text,date\ntrue,s,"t\n1",x,d\n')
+    other = csv("other.csv", "title,text,more\nt2,NA,y\n")
+    rows = read_raw_csv(spark, moved, RAW_ARTICLES).drop("input_order")
+    assert rows.columns == [*RAW_ARTICLES.fieldNames(), "label"] and tuple(rows.first()) == ("t\n1", "x", "s", "d", "true")
+    both = read_raw_csv(spark, [moved, other], RAW_ARTICLES)
+    assert {(r["title"], r["text"], r["label"], r["more"]) for r in both.collect()} == {("t\n1", "x", "true", None), ("t2", None, None, "y")}
+    lacking = csv("lacking.csv", "claimant,claim_text\nBob,The sky is green\n")
+    found = read_raw_csv(spark, lacking, RAW_REVIEWS)
+    assert found.first()["claim_text"] == "The sky is green"
+    with pytest.raises(ValueError, match="textual_rating"):
+        adapt(found, "google_factcheck")
+    whole = csv("whole.csv", "title,text\nt,x\nu,y\n")
+    assert read_raw_csv(spark, whole, RAW_ARTICLES, multi_line=False).count() == 2
+
+
+@pytest.mark.parametrize("text", ["title,text\nt,x,SURPLUS\n", "title,text\nt\n"])
+def test_ragged_rows_are_refused(spark, tmp_path, text):
+    (tmp_path / "ragged.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_raw_csv(spark, str(tmp_path / "ragged.csv"), RAW_ARTICLES).select("title").collect()
+
+
+def test_files_with_different_headers_below_one_path_are_refused(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("title,text\na,b\n")
+    (tmp_path / "2.csv").write_text("text,title\nb,a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path), RAW_ARTICLES).collect()
+
+
+def test_raw_parquet_goes_by_name(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([("x", 5)], "text string, title long").write.parquet(path)
+    raw = read_raw_parquet(spark, path, RAW_ARTICLES)
+    assert raw.columns == ["title", "text", "input_order"] and raw.first()["title"] == "5"
+    with pytest.raises(ValueError, match="label"):
+        adapt(raw, "isot")
+
+
+def test_a_bad_label_on_a_blank_row_is_refused(spark):
+    raw = spark.createDataFrame([(" ", "b", "fakeish", 0)], "title string, text string, label string, input_order long")
+    with pytest.raises(Exception, match="unexpected label value fakeish"):
+        curate_claims({"isot": raw}, STAMP).collect()
+
+
+def test_samples_draw_rows_without_title_in_proportion(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,text,subject,date\n" + "".join(f"t{i},x,s,d\n" for i in range(300)) + "NA,x,s,d\n" * 300)
+    titles = [r["title"] for r in labeled_file_union(spark, [(str(tmp_path / "a.csv"), "fake")], max_rows_per_file=100).collect()]
+    assert 30 <= sum(t is None for t in titles) <= 70
+    df = spark.range(40).select(F.when(F.col("id") > 19, F.col("id").cast("string")).alias("id"), F.when(F.col("id") >= 0, "f").alias("file"))
+    plan = sample_per_file(df, ["f"], 5, "id")
+    assert plan.count() == 5 and "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_feed_goes_through_the_chain(spark, tmp_path):
+    (tmp_path / "feed.xml").write_text(
+        "<rss><channel>" + "".join(f"<item><link>l{i}</link><description>post {i % 2}</description><guid>g{i}</guid></item>" for i in range(3)) + "</channel></rss>")
+    feed = parse_post_feed(spark, str(tmp_path / "feed.xml"))
+    assert curate_claims({"bluesky_afp": feed}, STAMP).count() == 0
+    counts = drop_counts(adapt(feed, "bluesky_afp")).first()
+    assert (counts["rows_read"], counts["rows_dropped_duplicate"], counts["rows_dropped_label"]) == (3, 1, 2)
+
+
+def test_a_run_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    reviews(spark, [claim("a"), claim("a"), claim(" "), claim("b", "Half True")]).coalesce(1).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    raw = spark.read.parquet(path).withColumn("language_code", counted.asNondeterministic()("claim_text"))
+    extract = phase_snapshot(spark, "google_factcheck", STAMP, 1, {"extract": 2.5}, {})
+    history = str(tmp_path / "runs")
+    _, phases = run_curation("google_factcheck", raw, str(tmp_path / "out"), history, "in", STAMP, extract=extract)
+    assert reads.value == 4
+    record = read_run_metrics(spark, history).first()
+    assert (record["rows_read"], record["rows_dropped_missing_text"], record["rows_dropped_duplicate"], record["rows_dropped_label"], record["rows_exported"]) == (4, 1, 1, 1, 1)
+    assert set(record["step_durations"]) == {"extract", "clean", "export"} and record["duration_seconds"] >= 2.5
+
+
+def test_claims_are_cleaned_once_in_the_plan(spark):
+    df = adapt(reviews(spark, [claim("a")]), "google_factcheck")
+    plan = clean_keys(drop_missing_text(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(claim_text") <= 2 * plan.count("Project"), plan

@@ -1,5 +1,6 @@
 """Run history on hand-written records."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimloom.operators import metrics
@@ -116,3 +117,15 @@ def test_max_age(spark):
     kept = max_age_filter(df, "2024-06-29T00:00:00Z", days=180)
     assert {r["review_date"] for r in kept.collect()} == {"2024-01-01", "May 1, 2024"}
     assert max_age_filter(df, F.lit("2024-06-29").cast("timestamp"), days=1).count() == 0
+
+
+def test_no_step_is_lost(spark):
+    from claimloom.operators.metrics import step_durations_long, step_durations_wide
+    from claimloom.schema import RUN_RECORD
+
+    row = {f.name: None for f in RUN_RECORD.fields} | {"source": "s", "run_timestamp": "2024-01-01T00:00:00Z", "step_durations": {"clean": 1.0, "mine": 2.0}}
+    runs = spark.createDataFrame([row], RUN_RECORD)
+    assert {tuple(r) for r in step_durations_long(runs).collect()} == {("s", "clean", 1.0), ("s", "mine", 2.0)}
+    with pytest.raises(Exception, match="steps without a column: mine"):
+        step_durations_wide(runs).collect()
+    assert step_durations_wide(runs, ["clean", "mine"]).first()["mine"] == 2.0

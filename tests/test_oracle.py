@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from claimloom.plans.fixtures import TABLES
+from claimloom.plans.fixtures import TABLES, view
 from claimloom.plans.queries import QUERIES as OWN
+from claimloom.session import shared_dir
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 # The operators for training data have tests of their own.
@@ -43,14 +44,23 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_a_twin_or_is_known_not_to():
-    assert set(QUERIES) - set(ORACLES) == {"step_timings"}
+    assert set(QUERIES) == set(ORACLES)
 
 
-def test_step_timings(spark):
-    row = QUERIES["step_timings"](spark, SF_DIR).first()
-    assert set(row["step_durations"]) == {"clean"}
-    dropped = sum(row[c] for c in ("rows_dropped_missing_text", "rows_dropped_duplicate", "rows_dropped_label"))
-    assert row["rows_read"] == row["rows_exported"] + dropped
+def test_links_reach_every_page(spark):
+    """No cap on the pages that claims point at, at any scale."""
+    for sf_dir in (SF_DIR, "/root/testdata/sf0.01"):
+        linked = view(spark, sf_dir, "claim_links").select("article_url").distinct()
+        pages = view(spark, sf_dir, "pages").select("url").distinct()
+        assert pages.join(linked, pages["url"] == linked["article_url"], "left_anti").count() == 0
+
+
+def test_scratch_needs_its_setting(spark):
+    class Unset:
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Unset)
 
 
 def test_entry_is_the_flagship(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.html import article_text, preview_image, unescape
 from claimloom.functions.html_tree import article_text_nested
-from claimloom.operators.joins import hot_keys, skew_join
+from claimloom.operators.joins import skew_join
 from claimloom.operators.pages import attach_page_text, dead_links, drop_dead_links, page_content, prune_source_dead_rows
 
 LONG = "word " * 60
@@ -121,11 +121,10 @@ def test_prune_keeps_unchecked_rows(spark):
     assert left.columns == ["id", "news_url", "title", "tweet_ids"]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_attach_with_and_without_salting(spark, hot_rows):
+def test_attach_gives_each_claim_its_page(spark):
     urls = ["u200"] * 60 + [None] * 30 + ["u404", "nowhere"] * 5
     claims = spark.createDataFrame(list(enumerate(urls)), "input_order long, article_url string")
-    got = attach_page_text(claims, pages(spark), hot_rows=hot_rows)
+    got = attach_page_text(claims, pages(spark))
     assert got.columns == ["input_order", "article_url", "http_status", "article_text", "image_url"]
     rows = {r["input_order"]: r for r in got.collect()}
     assert len(rows) == len(urls) == got.count()
@@ -136,18 +135,51 @@ def test_attach_with_and_without_salting(spark, hot_rows):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_rows", [1, 50, 10**6])
-def test_skew_join_equals_a_plain_join(spark, how, min_rows):
+def test_skew_join_equals_a_plain_join(spark, how):
     left = spark.range(400).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
                                    .otherwise(F.concat(F.lit("k"), F.col("id") % 11)).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k3", 3), ("unused", 4)], "k string, v int")
     plain = left.join(right, "k", how).select(*sorted(left.join(right, "k", how).columns))
-    salted = skew_join(left, right, "k", ["id"], how, min_rows, fanout=4)
-    salted = salted.select(*sorted(salted.columns))
-    assert sorted(map(repr, plain.collect())) == sorted(map(repr, salted.collect()))
-
-
-def test_hot_keys_are_found(spark):
-    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert hot_keys(df, "k", min_rows=100) == ["hot"]
-    assert hot_keys(df.filter("k is null"), "k") == []
+    spread = skew_join(left, right, "k", ["id"], how)
+    spread = spread.select(*sorted(spread.columns))
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, spread.collect()))
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+def test_a_hot_key_is_split_by_adaptive_execution(spark, how, tmp_path):
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 400_000, 1, 16).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+        rows.write.parquet(f"{tmp_path}/rows")
+        left = spark.read.parquet(f"{tmp_path}/rows")
+        right = left.select("k").distinct().withColumn("v", F.lit(1))
+        counted = skew_join(left, right, "k", ["id"], how).agg(F.count("*").alias("n"), F.max("id"))
+        assert counted.collect()[0]["n"] == (0 if how == "left_anti" else 400_000)
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_building_a_lookup_runs_no_job(spark):
+    claims = spark.createDataFrame([(0, "u200")], "input_order long, article_url string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        attach_page_text(claims, pages(spark))
+        skew_join(claims, claims.select("article_url"), "article_url", ["input_order"])
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_only_linked_pages_are_parsed(spark):
+    claims = spark.createDataFrame([(0, "u200")], "input_order long, article_url string")
+    plan = attach_page_text(claims, pages(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
