@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from claimloom.llm.common import bounded_batches, text_or_empty, written
 
 BLOCK_IDS = 1 << 16
-#: Distinct pieces of text that a worker remembers with their ids (about 200 bytes each).
-REMEMBERED = 800_000
+#: Distinct pieces of text that a worker remembers with their ids (about 200 bytes each), twice: the newest and those before.
+REMEMBERED = 500_000
 #: Characters of a text that are cut into pieces at a time.
 STRETCH = 1 << 20
 
@@ -78,6 +78,7 @@ class _Words(dict):
         self.encode, self.model = tokenizer.encode, tokenizer.model
         self.spelled = _Spelled(tokenizer.pre_tokenizer)
         self.space = self.spelled[" "]
+        self.older: dict[str, bytes] = {}
         self.rests: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
@@ -91,13 +92,17 @@ class _Words(dict):
         return self.rests[text]
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if word in self.older:
+            self[word] = found = self.older[word]
+            return found
+        if len(self) >= REMEMBERED:  # words that come again return from the older half
+            self.older = dict(self)
             self.clear()
         line = word.startswith("\n")
         stem = word.rstrip(".,;:!?")
         if len(stem) < len(word) and stem[line:].isalpha():
             found = self[stem] + self._rest(word[len(stem):])  # stops after letters are a unit of their own
-        elif stem[line:].isalpha() and max(stem) < _LATIN:
+        elif stem[line:].isalpha() and (stem.isascii() or max(stem) < _LATIN):
             # Letters after a space, or after a line break, are one unit.
             letters = stem[line:]
             if not letters.isascii():
