@@ -213,9 +213,9 @@ def _blocks(frames: Iterable[pd.DataFrame], path: str, bits: int, end_id: int, b
         return out
 
     for frame in frames:
-        for doc_id, text in zip(frame["doc_id"].tolist(), frame["text"].tolist(), strict=True):
+        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
             ids = np.append(encode(text), np.uint32(end_id)).astype("<u4")
-            docs.append({"doc_id": None if pd.isna(doc_id) else int(doc_id), "at": n_held, "n": len(ids)})
+            docs.append({"doc_id": None if doc_id is None else int(doc_id), "at": n_held, "n": len(ids)})
             held.append(ids)
             n_held += len(ids)
             while n_held >= block_ids:
@@ -237,7 +237,8 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
     bounded_batches(spark)
     bits = bits_for(max(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1))
     ordered = (docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
-               .repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text"))
+               .repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
+               .select(F.col("doc_id").cast("string"), "text"))  # pandas would make fractions of ids beside a null
     blocks = ordered.mapInPandas(lambda frames: _blocks(frames, tokenizer, bits, end_id, block_ids), _BLOCK)
     blocks.withColumn("bits", F.lit(bits)).write.option("compression", "zstd").parquet(f"{path}/blocks")
     # One row for each shard, with the ids of the shards before it.
@@ -299,8 +300,8 @@ def _stretches(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for d in r.docs:
                 n = min(d["n"], r.n_ids - d["at"])
                 out.append((r.shard, r.block, d["doc_id"], r.start + d["at"], d["n"], n, zlib.crc32(raw[4 * d["at"]: 4 * (d["at"] + n)])))
-        yield pd.DataFrame(out, columns=["shard", "block", "doc_id", "start", "n_tokens", "n", "crc"]).astype(
-            {"doc_id": "Int64", "start": "Int64", "n_tokens": "Int64", "n": "int64", "crc": "int64"})
+        names = ["shard", "block", "doc_id", "start", "n_tokens", "n", "crc"]
+        yield pd.DataFrame({name: pd.array([row[k] for row in out], dtype="Int64") for k, name in enumerate(names)})
 
 
 @F.pandas_udf(T.LongType())

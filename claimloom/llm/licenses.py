@@ -203,11 +203,9 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = BASE + TEMPLA
     """
     index = build_index(docs, templates)
 
-    def scanned(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = pd.DataFrame([index.scan(t) for t in frame["text"]], columns=_SCAN.names)
-            out.insert(0, "doc_id", frame["doc_id"].array)
-            yield out.astype({"first_word": "Int64", "last_word": "Int64"})
+    @F.pandas_udf(_SCAN)
+    def scanned(texts: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame([index.scan(t) for t in texts], columns=_SCAN.names)
+        return out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    schema = T.StructType([docs.schema["doc_id"], *_SCAN.fields])
-    return docs.select("doc_id", "text").mapInPandas(scanned, schema)
+    return docs.select("doc_id", scanned("text").alias("s")).select("doc_id", "s.*")

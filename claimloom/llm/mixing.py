@@ -103,6 +103,7 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
 
     Copies hang on the id, so a document's rows are repeated where they lie.
     """
-    copies = mix(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
-    return joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    copies = mix(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0").withColumnRenamed("doc_id", "id")
+    rows = docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -235,16 +235,15 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     firsts = grouped.groupBy("part").agg(F.min(F.struct(order.alias("at"), "digest", "n")).alias("m")).select("m.at.doc_id", "m.digest", "m.n")
     firsts = written(firsts, "firsts")
     # What goes: all other rows, and for now the rows that stay but are repeated.
-    stays = firsts.where("n = 1").select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest"))
-    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    stays = firsts.where("n = 1").select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_near_id")) & (F.col("digest") == F.col("_near_digest"))
     goes, gone = written_counting(marked.select("doc_id", "digest").distinct().join(stays, same, "left_anti")
-                                  .select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")), "goes", n=F.count(F.lit(1)))
-    told = docs.withColumn("digest", _digest()) if "digest" not in docs.columns else docs.withColumnRenamed("digest", "_own_digest").withColumn("digest", _digest())
-    columns = [F.col("_own_digest").alias(c) if c == "digest" else F.col(c) for c in docs.columns]
-    out = told.join(small_or_shuffled(goes, gone["n"]), same, "left_anti").select(*columns)
-    repeated, more = written_counting(firsts.where("n > 1").select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")), "repeated", n=F.count(F.lit(1)))
+                                  .select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest")), "goes", n=F.count(F.lit(1)))
+    told = docs.select("doc_id", _digest().alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = told.join(small_or_shuffled(goes, gone["n"]), same, "left_anti").select("row.*")
+    repeated, more = written_counting(firsts.where("n > 1").select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest")), "repeated", n=F.count(F.lit(1)))
     if more["n"]:
         once = (told.join(small_or_shuffled(repeated, more["n"]), same, "left_semi")
-                .withColumn("_id_key", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).dropDuplicates(["_id_key", "digest"]))
-        out = out.unionByName(once.select(*columns))
+                .dropDuplicates(["doc_id", "digest"]))
+        out = out.unionByName(once.select("row.*"))
     return out
