@@ -35,6 +35,12 @@ IMAGE_META = ("og:image", "twitter:image", "twitter:image:src")
 _NAMED = "\x02".join(
     f"{name.rstrip(';')}\x01{text}" for name, text in html.entities.html5.items() if name.endswith(";")
 )
+# Those that texts are full of are looked up first.
+_FREQUENT = "\x02".join(
+    f"{name}\x01{html.entities.html5[f'{name};']}"
+    for name in "nbsp quot lt gt apos rsquo lsquo rdquo ldquo ndash mdash hellip laquo raquo eacute egrave agrave ccedil ecirc "
+    "acirc ocirc icirc ucirc ugrave euml iuml auml ouml uuml szlig aacute iacute oacute uacute ntilde copy reg euro middot".split()
+)
 # Numbers 128..159 stand for the Windows code page, as browsers read them.
 _WINDOWS = "\x02".join(
     f"{n}\x01{bytes([n]).decode('cp1252')}" for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
@@ -69,7 +75,7 @@ def _named_or_numbered(name: Column, piece: Column) -> Column:
     hexed = F.conv(F.when(name.rlike(r"^#[xX].{1,8}$"), F.substring(name, 3, 8)), 16, 10).try_cast("bigint")
     number = F.coalesce(hexed, F.substring(name, 2, 20).try_cast("bigint"), F.lit(-1).cast("bigint"))
     value = F.when(name.startswith("#"), let(number, _code_point)).otherwise(
-        F.coalesce(F.try_element_at(_table(_NAMED), name), F.concat(F.lit("&"), name))
+        F.coalesce(F.try_element_at(_table(_FREQUENT), name), F.try_element_at(_table(_NAMED), name), F.concat(F.lit("&"), name))
     )
     return F.when(name == "", F.concat(F.lit("&"), piece)).otherwise(F.concat(value, rest))
 

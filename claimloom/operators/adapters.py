@@ -77,8 +77,12 @@ def adapt_post_feed(df: DataFrame) -> DataFrame:
 
 
 def adapt_news_links(df: DataFrame, label: str | None = None) -> DataFrame:
-    """News links of one file, which holds one label only."""
-    if label not in LABELS:
+    """News links of one file, which holds one label only, or of several with a ``label`` column."""
+    if label is None and "label" in df.columns:
+        verdict = checked_label("label", "fakenewsnet")
+    elif label in LABELS:
+        verdict = F.lit(label)
+    else:
         raise ValueError(f"fakenewsnet: label must be one of {LABELS}, not {label!r}")
     require_columns(df, ("news_url", "title"), "fakenewsnet")
     return _select(
@@ -94,8 +98,8 @@ def adapt_news_links(df: DataFrame, label: str | None = None) -> DataFrame:
         publisher_name=_text(None),
         publisher_site=_text(None),
         published_at=_text(None),
-        textual_rating_raw=F.lit(label),
-        label=F.lit(label),
+        textual_rating_raw=verdict,
+        label=verdict,
         language_code=F.lit("en"),
     )
 

@@ -24,11 +24,12 @@ Result = TypeVar("Result")
 def adapt_all(raw: Mapping[str, DataFrame], blank_claims: bool = True, tally: DropTally | None = None) -> DataFrame:
     """All collections, {adapter name: raw rows}, in canonical columns with cleaned keys.
 
-    Rows without claim text are left out on request. Keys are cleaned per collection, since ratings are mapped only where the
+    Raw rows that bring a ``dataset`` column keep it: several files of one kind
+    are read as one. Rows without claim text are left out on request. Keys are cleaned per collection, since ratings are mapped only where the
     collection brings no label column.
     """
     def adapted(name: str, df: DataFrame) -> DataFrame:
-        rows = adapt(df.withColumn(DATASET, F.lit(name)), name)
+        rows = adapt(df if DATASET in df.columns else df.withColumn(DATASET, F.lit(name)), name)
         return tally.at_raw(rows) if tally else rows
 
     def keyed(rows: DataFrame) -> DataFrame:

@@ -65,13 +65,15 @@ def adapted_reviews(spark, sf_dir, name="raw_reviews") -> DataFrame:
 
 
 def collections(spark, sf_dir) -> dict[str, DataFrame]:
-    """Raw rows of every collection, by adapter name."""
-    links = view(spark, sf_dir, "raw_links")
+    """Raw rows of every collection, by adapter name; the files of links are one scan."""
+    links = view(spark, sf_dir, "raw_links").withColumns({
+        DATASET: F.concat(F.lit("fakenewsnet_"), "file"), "label": F.substring_index("file", "_", -1)
+    })
     return {
         "google_factcheck": reviews(spark, sf_dir),
         "bluesky_afp": view(spark, sf_dir, "raw_posts"),
         "isot": view(spark, sf_dir, "raw_articles"),
-        **{f"fakenewsnet_{f}": links.filter(F.col("file") == f) for f in LINK_FILES},
+        "fakenewsnet": links,
     }
 
 
@@ -300,10 +302,10 @@ def adapt_labeled_articles(spark, sf_dir):
 @query
 def adapter_registry(spark, sf_dir):
     """Rows per registered collection, each through the adapter of its name."""
-    adapted = [
-        adapt(raw.withColumn(DATASET, F.lit(name)), name).select(DATASET, "source")
-        for name, raw in collections(spark, sf_dir).items()
-    ]
+    named = collections(spark, sf_dir)
+    links = named.pop("fakenewsnet").drop(DATASET, "label")
+    named |= {f"fakenewsnet_{f}": links.filter(F.col("file") == f) for f in LINK_FILES}
+    adapted = [adapt(raw.withColumn(DATASET, F.lit(name)), name).select(DATASET, "source") for name, raw in named.items()]
     return reduce(DataFrame.unionByName, adapted).groupBy(DATASET, "source").agg(F.count("*").alias("n"))
 
 

@@ -55,10 +55,6 @@ RAW_REVIEWS = _strings(
 )
 RAW_LINKS = _strings("id", "news_url", "title", "tweet_ids")
 RAW_ARTICLES = _strings("title", "text", "subject", "date")
-RAW_POSTS = _strings(
-    "post_url", "post_text", "pub_date", "guid", "article_url",
-    "http_status", "article_text", "image_url", "local_image_path",
-)
 FEED_ITEM = _strings("link", "description", "pubDate", "guid")
 
 CLAIM_PAYLOAD = T.StructType([

@@ -416,3 +416,10 @@ def test_claims_are_cleaned_once_in_the_plan(spark):
     df = adapt(reviews(spark, [claim("a")]), "google_factcheck")
     plan = clean_keys(drop_missing_text(df))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(claim_text") <= 2 * plan.count("Project"), plan
+
+
+def test_link_files_with_a_label_column_are_one_collection(spark):
+    rows = [("u.v/1", "a", "fake", "fakenewsnet_x_fake", 0), ("u.v/1", "a", "true", "fakenewsnet_x_true", 1), ("u.v/1", "a", "true", "fakenewsnet_x_true", 2)]
+    raw = spark.createDataFrame(rows, "news_url string, title string, label string, dataset string, input_order long")
+    got = curate_claims({"fakenewsnet": raw}, STAMP, keep_order=True).collect()
+    assert {(r["dataset"], r["label"], r["input_order"]) for r in got} == {("fakenewsnet_x_fake", "fake", 0), ("fakenewsnet_x_true", "true", 1)}
