@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import bounded_batches, hash60, held_out, text_or_empty, written
+from claimloom.llm.common import bounded_batches, hash60, held_out, small_or_shuffled, written_counting
 
 #: Lengths of n-grams, up to 3: a 64-bit key holds three code points of 21 bits.
 ORDERS = (1, 2, 3)
@@ -30,6 +30,8 @@ MARK = 1
 PROFILE = 300
 #: Most documents for each language, and most languages, that profiles are made of.
 SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 3_000, 1_000
+#: Parts that a language's documents are drawn from first.
+PARTS = 64
 #: Characters of a text that are looked at together.
 PIECE = 1 << 20
 
@@ -132,18 +134,22 @@ def _counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     """Profiles from at most ``per_language`` documents of each language, chosen by a hash of the id; never from held-out rows.
 
-    Rows with a null text or language teach nothing. Of more than
+    Rows with a null id, text or language teach nothing. Of more than
     ``MOST_LANGUAGES`` languages those with most n-grams get a profile.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    rank = Window.partitionBy("lang").orderBy(hash60(F.concat(F.lit("sample"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "doc_id")
-    ids = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang")
-           .withColumn("place", F.row_number().over(rank)).where(F.col("place") <= per_language).select("doc_id", "lang").distinct())
-    ids = written(ids, "language-ids")
-    # Narrow rows, at most ``per_language`` for each language.
-    chosen = docs.where(~held_out()).select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"], "left_semi")
-    counts = chosen.select("lang", text_or_empty().alias("text")).mapInPandas(_counted, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    drawn = [hash60(F.concat(F.lit("sample"), F.col("doc_id").cast("string"))), F.col("doc_id")]
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    ids = known.select("doc_id", "lang").distinct().withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):  # so that one language's last draw is among ``PARTS * per_language`` ids
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*drawn))
+        ids = ids.withColumn("place", place).where(F.col("place") <= per_language)
+    ids, seen = written_counting(ids.select("doc_id", "lang"), "language-ids", n=F.count(F.lit(1)))
+    chosen = known.select("doc_id", "lang", "text").join(small_or_shuffled(ids, seen["n"]), ["doc_id", "lang"], "left_semi")
+    # An id counts once, with its smallest text.
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    counts = chosen.select("lang", "text").mapInPandas(_counted, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     best = counts.withColumn("place", F.row_number().over(top)).where(F.col("place") <= PROFILE)
     languages = best.groupBy("lang").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", "key"))).alias("top"))

@@ -23,7 +23,7 @@ from claimloom.llm.labelled import labelled_sample
 #: Words in a passage.
 PASSAGE = 64
 #: Most labelled documents that are learned from, and most passages of one of them; longer ones teach nothing.
-SAMPLE_ROWS, SAMPLE_PASSAGES = 8_000, 2_000
+SAMPLE_ROWS, SAMPLE_PASSAGES = 8_000, 400
 HIDDEN, GATES, EPOCHS, BATCH, RATE = 24, 12, 40, 128, 0.01
 THRESHOLD = 0.7
 
