@@ -17,13 +17,13 @@ from claimloom.functions.text import strip
 from claimloom.functions.urls import resolve_url
 
 # A removed element leaves "<>", which still separates the text around it.
-_GONE = "<>"
+GONE = "<>"
 _SCRIPTED = (
     r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
     r"|<!--.*?-->"
 )
-_HIDDEN = _SCRIPTED + r"|<noscript(?:\s[^>]*)?>.*?(?:</noscript\s*>|\z)"
-_ROLE_MAIN = r"""<([a-zA-Z][a-zA-Z0-9]*)\s(?:[^>]*\s)?role\s*=\s*(?:"main"|'main'|main(?=[\s/>]))[^>]*>"""
+HIDDEN = _SCRIPTED + r"|<noscript(?:\s[^>]*)?>.*?(?:</noscript\s*>|\z)"
+ROLE_MAIN = r"""<([a-zA-Z][a-zA-Z0-9]*)\s(?:[^>]*\s)?role\s*=\s*(?:"main"|'main'|main(?=[\s/>]))[^>]*>"""
 _P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
 _P_CUT = r"(?is)</p\s*>.*"
 _TAG = r"(?s)<[^>]*>"
@@ -113,17 +113,17 @@ def _balanced(pieces: Column, name: Column) -> Column:
             )
         ),
     )
-    return F.array_join(F.slice(pieces, 1, walked["taken"]), _GONE)
+    return F.array_join(F.slice(pieces, 1, walked["taken"]), GONE)
 
 
 def _scope(page: Column) -> Column:
     """Content of the first article, else main, else role=main element, else the whole page."""
     article, main = r"<(article)(?:\s[^>]*)?>", r"<(main)(?:\s[^>]*)?>"
-    role_name = F.regexp_extract(page, f"(?is){_ROLE_MAIN}", 1)
+    role_name = F.regexp_extract(page, f"(?is){ROLE_MAIN}", 1)
     return (
         F.when(page.rlike(f"(?is){article}"), _inside(page, article, F.lit("article")))
         .when(page.rlike(f"(?is){main}"), _inside(page, main, F.lit("main")))
-        .when(role_name != "", _inside(page, _ROLE_MAIN, role_name))
+        .when(role_name != "", _inside(page, ROLE_MAIN, role_name))
         .otherwise(page)
     )
 
@@ -136,7 +136,7 @@ def _paragraph(piece: Column) -> Column:
 
 def article_text(page: Column | str) -> Column:
     """Paragraph texts of the page's main element, one per line; empty without any."""
-    visible = F.regexp_replace(as_column(page), _HIDDEN, _GONE)
+    visible = F.regexp_replace(as_column(page), HIDDEN, GONE)
     pieces = F.split(let(visible, _scope), _P_OPEN)
     lines = F.transform(let(pieces, _after_first), _paragraph)
     return strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{2,}", "\n"))
@@ -159,7 +159,7 @@ def preview_image(page: Column | str, page_url: Column | str) -> Column:
     else as ``name``; an empty one hands over to the next meta name.
     """
     tags = F.regexp_extract_all(
-        F.regexp_replace(as_column(page), _SCRIPTED, _GONE),
+        F.regexp_replace(as_column(page), _SCRIPTED, GONE),
         F.lit(r"""(?is)<meta[\s/](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""),
         F.lit(0),
     )

@@ -2,124 +2,103 @@
 
 In such a tree a ``<p>`` that is never closed holds all that follows it inside
 its parent, further paragraphs included, and those come again on their own.
-Which tags close which needs a stack, so this rule runs as an Arrow-batched
-function over the standard library's tokenizer. ``claimloom.functions.html``
-gives each paragraph once and stays in the JVM; prefer it unless texts must
-equal those of a tree parser.
+Which tags close which needs a stack: a page's tags are folded over one, in the
+column expression itself. ``claimloom.functions.html`` gives each paragraph
+once and needs no fold; prefer it unless texts must equal those of a tree
+parser.
 """
 
 from __future__ import annotations
 
-import html.entities
-import re
-import sys
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# The function travels with the job: executors need no installed copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from claimloom.functions import as_column, let
+from claimloom.functions.html import GONE, HIDDEN, ROLE_MAIN, unescape
+from claimloom.functions.text import strip
 
-# Elements without content, and elements whose content is no text.
-VOID = frozenset(
+# Elements without content.
+VOID = (
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen link menuitem meta "
-    "nextid param source spacer track wbr".split()
-)
-HIDDEN = frozenset(("script", "style", "noscript"))
-
-
-class _Paragraphs(HTMLParser):
-    """Text pieces of a page, and which of them each paragraph and main element spans."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
-        self.pieces: list[str] = []
-        self.paragraphs: list[list[int]] = []  # [first piece, end piece]
-        self.scopes: dict[str, list[int]] = {}  # name -> [first paragraph, end paragraph], first element only
-        self.open: list[tuple[str, list[list]]] = []  # name, spans to end with the element
-        self.hidden = 0
-        self.fresh = True  # the next text starts a piece of its own
-
-    def _append(self, text: str) -> None:
-        if self.hidden:
-            return
-        if self.fresh:
-            self.pieces.append(text)
-        else:
-            self.pieces[-1] += text
-        self.fresh = False
-
-    def handle_starttag(self, tag, attrs):
-        self.fresh = True
-        if tag not in VOID:
-            self._open(tag, dict(attrs))
-
-    def _open(self, tag, attrs):
-        ends = []
-        self.hidden += tag in HIDDEN
-        if not self.hidden:
-            if tag == "p":
-                ends.append((span := [len(self.pieces), None], self.pieces))
-                self.paragraphs.append(span)
-            for scope in (tag, f"role={attrs.get('role')}"):
-                if scope in ("article", "main", "role=main") and scope not in self.scopes:
-                    # A paragraph that is itself the scope is not inside it.
-                    self.scopes[scope] = span = [len(self.paragraphs), None]
-                    ends.append((span, self.paragraphs))
-        self.open.append((tag, ends))
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self.fresh = True
-        # An end tag closes up to the nearest open element of its name; without one it is ignored.
-        if any(name == tag for name, _ in self.open):
-            while self._close() != tag:
-                pass
-
-    def _close(self) -> str:
-        name, ends = self.open.pop()
-        self.hidden -= name in HIDDEN
-        for span, items in ends:
-            span[1] = len(items)
-        return name
-
-    def handle_data(self, data):
-        self._append(data)
-
-    def handle_entityref(self, name):
-        self._append(html.entities.html5.get(f"{name};", f"&{name}"))
-
-    def handle_charref(self, name):
-        self._append(html.unescape(f"&#{name};"))
-
-    def _separate(self, _):
-        self.fresh = True
-
-    handle_comment = handle_decl = handle_pi = unknown_decl = _separate
-
-    def text(self) -> str:
-        while self.open:
-            self._close()
-        inside = next((self.scopes[s] for s in ("article", "main", "role=main") if s in self.scopes), None)
-        chosen = self.paragraphs[slice(*inside)] if inside else self.paragraphs
-        lines = (" ".join(filter(None, (p.strip() for p in self.pieces[a:b]))) for a, b in chosen)
-        return re.sub(r"\n{2,}", "\n", "\n".join(lines)).strip()
-
-
-def _nested_text(page: str) -> str:
-    parser = _Paragraphs()
-    parser.feed(page)
-    parser.close()
-    return parser.text()
-
-
-@F.pandas_udf(T.StringType())
-def article_text_nested(page: pd.Series) -> pd.Series:
-    return page.map(_nested_text, na_action="ignore")
+    "nextid param source spacer track wbr"
+).split()
+
+_PIECE = r"(?s)<[^>]*>|[^<]+|<"
+_NAME = r"^</?([a-zA-Z][^\s/>]*)"
+_ELEMENT = "struct<name: string, main: boolean, at: int, end: int>"
+_STATE = f"struct<open: array<{_ELEMENT}>, closed: array<{_ELEMENT}>>"
+
+
+def _element(name: Column, main: Column, at: Column, end: Column) -> Column:
+    return F.struct(name.alias("name"), main.alias("main"), at.alias("at"), end.alias("end"))
+
+
+def _elements(pieces: Column) -> Column:
+    """Paragraphs and possible main elements: where each begins, and the first piece after it."""
+    def tag(piece: Column, at: Column) -> Column:
+        return F.struct(
+            F.lower(F.regexp_extract(piece, _NAME, 1)).alias("name"),
+            piece.startswith("</").alias("ends"),
+            piece.endswith("/>").alias("empty"),
+            piece.rlike(f"(?is){ROLE_MAIN}").alias("main"),
+            at.alias("at"),
+        )
+
+    tags = F.filter(F.transform(pieces, tag), lambda t: (t["name"] != "") & ~t["name"].isin(*VOID))
+    return F.aggregate(tags, F.struct(F.array().alias("open"), F.array().alias("closed")).cast(_STATE), _step, lambda s: _finish(s, F.size(pieces)))
+
+
+def _wanted(elements: Column) -> Column:
+    return F.filter(elements, lambda e: e["name"].isin("p", "article", "main") | e["main"])
+
+
+def _ended(elements: Column, at: Column) -> Column:
+    return F.transform(_wanted(elements), lambda e: _element(e["name"], e["main"], e["at"], at))
+
+
+def _step(state: Column, tag: Column) -> Column:
+    # An end tag closes up to the nearest open element of its name; without one it is ignored.
+    names = F.reverse(F.transform(state["open"], lambda e: e["name"]))
+    depth = F.array_position(names, tag["name"]).cast("int")
+    left = F.size(state["open"]) - depth
+    closing = F.struct(
+        F.slice(state["open"], F.lit(1), left).alias("open"),
+        F.concat(state["closed"], _ended(F.slice(state["open"], left + 1, depth), tag["at"])).alias("closed"),
+    )
+    own = F.array(_element(tag["name"], tag["main"], tag["at"], tag["at"]))
+    alone = F.struct(state["open"].alias("open"), F.concat(state["closed"], _wanted(own)).alias("closed"))
+    opening = F.struct(F.concat(state["open"], own).alias("open"), state["closed"].alias("closed"))
+    nothing = F.struct(state["open"].alias("open"), state["closed"].alias("closed"))
+    new = F.when(tag["ends"] & (depth > 0), closing).when(tag["ends"], nothing).when(tag["empty"], alone).otherwise(opening)
+    return new.cast(_STATE)
+
+
+def _finish(state: Column, end: Column) -> Column:
+    return F.array_sort(
+        F.transform(F.concat(state["closed"], _ended(state["open"], end)), lambda e: F.struct(e["at"].alias("at"), e["end"].alias("end"), e["name"].alias("name"), e["main"].alias("main")))
+    )
+
+
+def _lines(pieces: Column, elements: Column) -> Column:
+    """The lines of the paragraphs inside the first article, else main, else role=main element, else of all."""
+    def first(kind) -> Column:
+        return F.try_element_at(F.filter(elements, kind), F.lit(1))
+
+    scope = F.coalesce(first(lambda e: e["name"] == "article"), first(lambda e: e["name"] == "main"), first(lambda e: e["main"]))
+
+    def line(p: Column) -> Column:
+        # The fold counts pieces from 0, a slice from 1.
+        held = F.slice(pieces, p["at"] + 2, F.greatest(p["end"] - p["at"] - 1, F.lit(0)))
+        texts = F.filter(held, lambda s: ~s.rlike(r"(?s)\A<.*>\z"))
+        return F.array_join(F.filter(F.transform(texts, lambda s: strip(unescape(s))), lambda s: s != ""), " ")
+
+    paragraphs = F.filter(elements, lambda e: e["name"] == "p")
+    within = let(scope, lambda around: F.filter(paragraphs, lambda p: around.isNull() | ((around["at"] < p["at"]) & (p["at"] < around["end"]))))
+    return F.transform(within, line)
+
+
+def article_text_nested(page: Column | str) -> Column:
+    """Paragraph texts of the page's main element, one per line, each with all that its tree holds; empty without any."""
+    visible = F.regexp_replace(as_column(page), HIDDEN, GONE)
+    lines = let(F.regexp_extract_all(visible, F.lit(_PIECE), F.lit(0)), lambda pieces: let(_elements(pieces), lambda found: _lines(pieces, found)))
+    return strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{2,}", "\n"))
