@@ -43,8 +43,10 @@ LOOKALIKES = str.maketrans("@4301!$57|€£", "aaeoiisstiel")
 
 #: Words between a hit and a second-person word that count as near.
 NEAR = 5
-#: Word starts that can be entries, in letters; least toxic documents and log-odds of an entry; most entries.
-STEMS, LEAST_DOCS, LEAST_ODDS, MOST_ENTRIES, MOST_CANDIDATES = (4, 5, 6, 7, 8), 4, 1.7, 400, 20_000
+#: Word starts that can be entries, in letters; least log-odds of an entry; most entries and candidates.
+STEMS, LEAST_ODDS, MOST_ENTRIES, MOST_CANDIDATES = (4, 5, 6, 7, 8), 1.7, 400, 20_000
+#: Toxic documents that an entry has to add, at least, and as a share of all toxic ones.
+LEAST_DOCS, LEAST_SHARE = 2, 0.008
 #: Log-odds from which an entry is a strong one; strong and weak ones are counted apart.
 STRONG_ODDS = 3.0
 #: Of the sample, one document in so many calibrates and is kept from the trees.
@@ -162,8 +164,9 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         return Lexicon()
     counts = (sample.mapInPandas(_counted, "entry string, toxic long, clean long")
               .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    least = max(LEAST_DOCS, math.ceil(LEAST_SHARE * toxic))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    best = (counts.withColumn("odds", odds).where((F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
+    best = (counts.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS))
             .orderBy(F.desc(F.col("odds") * F.col("toxic")), "entry").limit(MOST_CANDIDATES).collect())
     candidates = {r["entry"]: r["odds"] for r in best}
 
@@ -174,20 +177,20 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     covers: dict[str, set[int]] = {}
     for row in sample.where("label = 1").mapInPandas(marks, "doc_id long, entry string").toLocalIterator():
         covers.setdefault(row["entry"], set()).add(row["doc_id"])
-    return _chosen(covers, candidates)
+    return _chosen(covers, candidates, least)
 
 
-def _chosen(covers: dict[str, set[int]], odds: dict[str, float]) -> Lexicon:
+def _chosen(covers: dict[str, set[int]], odds: dict[str, float], least: int) -> Lexicon:
     """Greedy cover: the entry of most weight among the documents that are left, again and again."""
     strong, weak = set(), set()
     left = set().union(*covers.values()) if covers else set()
     while len(strong) + len(weak) < MOST_ENTRIES:
         entry, docs = max(covers.items(), key=lambda x: (len(x[1]) * odds[x[0]], x[0]), default=("", set()))
-        if len(docs) < LEAST_DOCS:
+        if len(docs) < least:
             break
         (strong if odds[entry] >= STRONG_ODDS else weak).add(entry)
         left -= docs
-        covers = {e: d & left for e, d in covers.items() if len(d & left) >= LEAST_DOCS}
+        covers = {e: d & left for e, d in covers.items() if len(d & left) >= least}
     return Lexicon(frozenset(strong), frozenset(weak))
 
 
