@@ -10,9 +10,10 @@ distance one the one whose bit is set looks the other up, so a ball costs about
 16 probes instead of 33.
 
 A bucket of the tables with over ``CROWD`` entries isn't paired off: all its
-visitors are verified against its smallest entry first, and only those that
-fail meet the others. What links to the smallest entry is in one component
-with it already, so components are exact and the work stays in proportion.
+visitors are verified against its ``PIVOTS`` smallest entries first, and then
+only pairs that are still in different components. Pairs within a component
+could add no more to it, so components are exact, and the work stays in
+proportion to the bucket's size and what is outside its largest component.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm.common import bounded_batches, components, small_or_shuffled, written, written_counting
 from claimloom.llm.words import shingle_hashes
 
-CROWD = 64
+CROWD, PIVOTS = 64, 32
 
 
 def _lane(h: np.ndarray, lane: int) -> np.ndarray:
@@ -127,12 +128,19 @@ def links(nodes: DataFrame, lanes: int, find_bits: int, verify: Callable[[DataFr
 
     visitors = written(
         table.withColumn("entry", F.lit(True)).unionByName(probes.withColumn("entry", F.lit(False)))
-        .join(crowds.select("key", "pivot"), "key"), "visitors")
-    to_pivot = visitors.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    first = written(verify(pairs.unionByName(to_pivot).distinct()), "links")
-    met = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(F.col("a").alias("id"), F.col("b").alias("pivot"))
-    failed = visitors.where("id <> pivot").join(met, ["id", "pivot"], "left_anti")
-    again = _pairs(failed, visitors.where("entry")).unionByName(_pairs(failed.where("entry"), visitors.where("not entry")))
+        .join(crowds.select("key"), "key", "left_semi"), "visitors")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    pivots = visitors.where("entry").withColumn("place", place).where(F.col("place") <= PIVOTS)
+    first = written(verify(pairs.unionByName(_pairs(visitors, pivots)).distinct()), "links")
+
+    # What is in different components after that, and shares a crowded bucket: one side is outside the bucket's largest component.
+    parts = components(first, "crowd").withColumnRenamed("node", "id")
+    tagged = written(visitors.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).select("key", "id", "entry", "part"), "tagged")
+    largest = tagged.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
+    outside = tagged.join(largest, "key").where("part <> largest")
+    a, b = outside.alias("a"), tagged.alias("b")
+    met = a.join(b, F.col("a.key") == F.col("b.key")).where("a.part <> b.part and (a.entry or b.entry)")
+    again = met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
     return first.unionByName(written(verify(again.distinct()), "links"))
 
 

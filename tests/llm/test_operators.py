@@ -215,8 +215,9 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "none").count() == 0
 
 
-@pytest.mark.parametrize("crowd", [64, 2])
-def test_links_connect_what_all_pairs_connect(spark, crowd):
+@pytest.mark.parametrize("crowd, pivots", [(64, 32), (2, 1), (2, 3)])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, crowd, pivots):
+    monkeypatch.setattr(simhash, "PIVOTS", pivots)
     rng = random.Random(5)
     base = [rng.getrandbits(64) for _ in range(6)]
     prints = {rng.choice(base) ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(4))}) for _ in range(250)}
