@@ -168,7 +168,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
 
 
 #: Near-duplicates by similarity: lanes of the fingerprint over distinct words, and the bits that a candidate may differ in.
-LANES, CANDIDATE_BITS = 4, 56
+LANES, CANDIDATE_BITS = 6, 84
 
 
 def shingle_set(text: str | None, shingle: int) -> bytes:
