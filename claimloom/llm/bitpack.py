@@ -240,7 +240,7 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
                .repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
                .select(F.col("doc_id").cast("string"), "text"))  # pandas would make fractions of ids beside a null
     blocks = ordered.mapInPandas(lambda frames: _blocks(frames, tokenizer, bits, end_id, block_ids), _BLOCK)
-    blocks.withColumn("bits", F.lit(bits)).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    blocks.withColumn("bits", F.lit(bits)).write.option("compression", "snappy").parquet(f"{path}/blocks")
     # One row for each shard, with the ids of the shards before it.
     shards = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     shards.withColumn("base", F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).coalesce(1).write.parquet(f"{path}/shards")
