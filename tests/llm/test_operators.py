@@ -263,6 +263,47 @@ def test_near_duplicates_by_similarity(spark):
     assert simhash.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
+def shingles_of(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def edited(kind, words, changed, rng):
+    """A copy with a contiguous edit, or words of a shared passage."""
+    other, at = [f"w{rng.randrange(10**9)}" for _ in range(changed)], rng.randrange(len(words) - changed)
+    return {"end cut": words[:-changed], "start cut": words[changed:], "appended": words + other, "replaced": words[:at] + other + words[at + changed:],
+            "inserted": words[:at] + other + words[at:], "shared": words[:-changed] + ("a line that every such text has " * 20).split()[:changed]}[kind]
+
+
+@pytest.mark.parametrize("crowd, frequent", [(64, 4), (2, 2)])
+def test_near_duplicates_of_contiguous_edits_are_all_found(spark, monkeypatch, crowd, frequent):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (crowd,))
+    monkeypatch.setattr(simhash, "FREQUENT", frequent)
+    rng, rows = random.Random(8), []
+    for i, kind in enumerate(["end cut", "start cut", "appended", "replaced", "inserted", "shared"] * 20):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(30, 400))]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(edited(kind, words, max(1, int(len(words) * rng.uniform(0.05, 0.22))), rng)))]
+    group = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+    for i in range(40):  # a crowd: some pairs above the similarity, most below
+        rows.append((5000 + i, " ".join(edited("replaced", group, rng.choice([2, 8, 20]), rng))))
+    texts = {i: shingles_of(t) for i, t in rows}
+    parent, linked = {i: i for i in texts}, 0
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and len(texts[a] & texts[b]) >= 0.8 * len(texts[a] | texts[b]):
+                linked += 1
+                parent[max(top(a), top(b))] = min(top(a), top(b))
+    got = simhash.drop_near_duplicates(docs(spark, rows)).collect()
+    assert linked > 100 and sorted(r["doc_id"] for r in got) == sorted({top(i) for i in texts})
+
+
 # --- decontamination ----------------------------------------------------------------------------------------------
 
 BENCH = "item_id long, text string"
