@@ -54,34 +54,38 @@ def source_targets(sums: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "") -> DataFrame:
-    """One row per row of ``docs(doc_id, text, source)``: ``doc_id, source, size, source_size, target, copies, taken``.
-
-    A null text has size 0, a null source is a source of its own, the last. A
-    document's hash comes from its id and ``seed`` alone, so reruns agree;
-    rows that repeat an id (null ids too) are taken or left together. Equal
-    texts under different ids are different documents. An empty table gives an
-    empty result; other columns are ignored.
-    """
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                                hash60(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h")), "sizes")
+def _hashed(docs: DataFrame, seed: str) -> DataFrame:
+    """``docs`` with the hash ``_h``, of the id and the seed; of the text too where an id is null or repeated, so that its rows can be told apart."""
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated, seen = written_counting(ids.where("_n > 1").select("_id"), "repeated-ids", n=F.count(F.lit(1)))
+    marked = docs.withColumn("_shared", F.col("doc_id").isNull())
+    if seen["n"]:
+        marked = docs.join(small_or_shuffled(repeated, seen["n"]), F.col("doc_id") == F.col("_id"), "left")
+        marked = marked.withColumn("_shared", F.col("doc_id").isNull() | F.col("_id").isNotNull()).drop("_id")
+    own = F.when(F.col("_shared"), F.concat(F.lit("\t"), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))).otherwise("")
+    return marked.withColumn("_h", hash60(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), own))).drop("_shared")
+
+
+def _looked_up(rows: DataFrame, side: DataFrame, n: int, how: str = "inner") -> DataFrame:
+    """``rows`` with what a table of ``n`` rows says of their source."""
+    side = side.withColumnRenamed("source", "_its_source")
+    return rows.join(small_or_shuffled(side, n), F.col("source").eqNullSafe(F.col("_its_source")), how).drop("_its_source")
+
+
+def _thresholds(sized: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, int]:
+    """``source, source_size, target, rounds, below`` for each source of ``sized(source, size, h)``, and how many there are."""
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets, seen = written_counting(
         source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
         .withColumn("rounds", rounds), "targets", n=F.count(F.lit(1)))
 
-    def looked_up(side: DataFrame, **also: str) -> DataFrame:
-        side = side.withColumnRenamed("source", "its_source")
-        same = sized["source"].eqNullSafe(side["its_source"])
-        return sized.join(small_or_shuffled(side, seen["n"]), same, also.get("how", "inner")).drop("its_source")
-
     # (source, left: budget still open, prefix: leading bits of the boundary)
     edge = targets.select("source", (F.col("target") - F.col("rounds") * F.col("source_size")).alias("left"), F.lit(0).cast("long").alias("prefix")).where("left > 0")
     unit = F.lit(0).cast("long")
     for used in range(0, HASH_BITS, BITS):
         rest = HASH_BITS - used
         bucket = F.shiftrightunsigned("h", rest - BITS)
-        inside = looked_up(edge).where(F.shiftrightunsigned("h", rest) == F.col("prefix")) if used else looked_up(edge)
+        inside = _looked_up(sized, edge, seen["n"]).where(F.shiftrightunsigned("h", rest) == F.col("prefix")) if used else _looked_up(sized, edge, seen["n"])
         sums = inside.groupBy("source", "left", bucket.alias("prefix")).agg(F.sum("size").alias("words"))
         running = F.sum("words").over(Window.partitionBy("source").orderBy("prefix"))
         edge = (sums.withColumn("running", running).where("running > left")
@@ -93,17 +97,39 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     threshold = edge.select("source", (F.col("prefix") + F.when(F.col("left") * 2 >= unit, 1).otherwise(0)).alias("below"))
     cut = targets.join(threshold.withColumnRenamed("source", "cut_source"), F.col("source").eqNullSafe(F.col("cut_source")), "left")
     cut = written(cut.select("source", "source_size", "target", "rounds", F.coalesce("below", F.lit(0)).alias("below")), "thresholds")
-    copies = F.col("rounds") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)
-    return looked_up(cut, how="left").select(
-        "doc_id", "source", "size", "source_size", "target", copies.cast("int").alias("copies"), (F.col("size") * copies).alias("taken"))
+    return cut, seen["n"]
+
+
+def _copies(h: str) -> Column:
+    return (F.col("rounds") + F.when(F.col(h) < F.col("below"), 1).otherwise(0)).cast("int")
+
+
+def _sized(hashed: DataFrame) -> DataFrame:
+    return written(hashed.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.col("_h").alias("h")), "sizes")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "") -> DataFrame:
+    """One row per row of ``docs(doc_id, text, source)``: ``doc_id, source, size, source_size, target, copies, taken``.
+
+    A null text has size 0, a null source is a source of its own, the last. A
+    document's hash comes from its id and ``seed``, so reruns agree; rows of a
+    null or repeated id are told apart by their texts, and only those that
+    repeat id and text are taken or left together. Equal texts under different
+    ids are different documents. An empty table gives an empty result; other
+    columns are ignored.
+    """
+    sized = _sized(_hashed(docs.select("doc_id", "text", "source"), seed))
+    cut, n = _thresholds(sized, weights, share, most)
+    return _looked_up(sized, cut, n, "left").withColumn("copies", _copies("h")).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; the columns are those of ``docs``.
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = "") -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them; the columns are those of ``docs``.
 
-    Copies hang on the id, so a document's rows are repeated where they lie.
+    Each row is held against its own source's threshold, where it lies.
     """
-    copies = mix(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0").withColumnRenamed("doc_id", "id")
-    rows = docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("id")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    cut, n = _thresholds(_sized(_hashed(docs.select("doc_id", "text", "source"), seed)), weights, share, most)
+    rows = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = _looked_up(_hashed(rows, seed), cut, n).withColumn("copies", _copies("_h")).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -177,6 +177,19 @@ def test_mix_of_repeated_rows(spark):
     assert len(got) == 34 and all(r["taken"] <= 2 * r["size"] for r in got)
 
 
+def test_mix_tells_rows_of_one_id_apart(spark):
+    rows = [(None, prose(i, 20), "en", "a") for i in range(200)] + [(7, prose(300 + i, 20), "en", "a") for i in range(100)]
+    rows += [(1000 + i, prose(600 + i, 20), "en", "a") for i in range(300)]
+    rows += [(i if i else None, prose(2000 + i, 20), "en", "b") for i in range(600)]
+    frame = docs(spark, rows)
+    got = mixing.mix(frame).collect()
+    want = brute_targets({"a": 12_000, "b": 12_000})
+    taken = {s: sum(r["taken"] for r in got if r["source"] == s) for s in want}
+    kept = mixing.mixed(frame).collect()
+    words = {s: sum(len(r["text"].split()) for r in kept if r["source"] == s) for s in want}
+    assert words == taken and all(abs(taken[s] - want[s]) <= 20 for s in want)
+
+
 # --- sharding -------------------------------------------------------------------------------------------------
 
 def test_lookup_table_is_even_and_stable():
