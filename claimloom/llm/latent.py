@@ -44,8 +44,10 @@ COSINE = 0.25
 LCS, LCS_WITH_ANSWER, ANSWER = 0.8, 0.6, 0.9
 #: A stretch may be so many times as long as its item.
 LOOSE = 1.5
-#: Shorter items are left out: too few words to tell a leak from chance.
+#: Shorter items have too few words to tell a leak from chance by a share of them: they leak word for word only.
 LEAST_WORDS = 8
+#: Short items in a block, and words on either side of one that its answer is looked for in.
+BLOCK_PHRASES, AROUND = 4_096, 64
 
 _SIGNS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
@@ -184,6 +186,45 @@ def judged(item: Item, words: list[int]) -> tuple[float, bool, int] | None:
     return (share, answer, -start) if share >= LCS or (share >= LCS_WITH_ANSWER and answer) else None
 
 
+@dataclass
+class Phrases:
+    """A block of short items; they are found word for word."""
+
+    vocabulary: Vocabulary
+    items: list[Item]
+
+    def leaks(self, texts: pa.Array) -> list[list[tuple]]:
+        """As those of ``Retriever``, the first place of each item; without a cosine."""
+        ids, begins = self.vocabulary.ids(texts)
+        out: list[list[tuple]] = [[] for _ in range(len(begins) - 1)]
+        # Signs that stand alone are no words.
+        at = np.flatnonzero(ids != self.vocabulary.words.index("") + 1)
+        ids, text = ids[at], np.searchsorted(begins, at, side="right") - 1
+        known = np.flatnonzero(ids)
+        known = known[np.argsort(ids[known], kind="stable")]
+        heads = np.searchsorted(ids[known], np.arange(len(self.vocabulary.words) + 2))
+        for number, item in enumerate(self.items):
+            words, n = np.array(item.words), len(item.words)
+            rarest = int(np.argmin(heads[words + 1] - heads[words]))
+            starts = known[heads[words[rarest]]:heads[words[rarest] + 1]] - rarest
+            starts = starts[(starts >= 0) & (starts + n <= len(ids))]
+            for k in range(n):
+                starts = starts[ids[starts + k] == words[k]]
+            starts = starts[text[starts] == text[starts + n - 1]]
+            done = set()
+            for s in starts.tolist():
+                t = int(text[s])
+                if t in done:
+                    continue
+                low, high = np.searchsorted(text, t), np.searchsorted(text, t, side="right")
+                near = ids[max(low, s - AROUND - len(item.answer)): min(high, s + n + AROUND + len(item.answer))].tolist()
+                answer = bool(item.answer) and lcs_length(item.answer, near) >= ANSWER * len(item.answer)
+                if answer or not item.answer:
+                    done.add(t)
+                    out[t].append((number, None, 1.0, answer, int(at[s] - begins[t])))
+        return out
+
+
 def _item_words(text: str | None, answer: str | None) -> tuple[list[str], list[str]]:
     """An item's words, and its answer's: the given one, or its last sentence if it has several."""
     words = _word_list(text)
@@ -194,12 +235,17 @@ def _item_words(text: str | None, answer: str | None) -> tuple[list[str], list[s
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """``(item_id, words, answer)`` in blocks of up to ``BLOCK_PASSAGES`` passages, streamed from the table."""
+    """``(item_id, words, answer)`` in blocks of up to ``BLOCK_PASSAGES`` passages, streamed from the table; short items in blocks of their own."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
-    block, passages = [], 0
+    block, passages, short = [], 0, []
     for row in benchmark.select("item_id", "text", answer.alias("answer")).toLocalIterator():
         words, of_answer = _item_words(row["text"], row["answer"])
         if len(words) < LEAST_WORDS:
+            if words:
+                short.append((row["item_id"], words, of_answer))
+            if len(short) == BLOCK_PHRASES:
+                yield short
+                short = []
             continue
         n = -(-len(words) // (2 * HALF))
         if block and passages + n > BLOCK_PASSAGES:
@@ -207,8 +253,9 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
             block, passages = [], 0
         block.append((row["item_id"], words, of_answer))
         passages += n
-    if block:
-        yield block
+    for rest in (block, short):
+        if rest:
+            yield rest
 
 
 def _document_ids(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -299,18 +346,22 @@ def singular_vectors(gram_random: np.ndarray, random: np.ndarray, rank: int) ->
     return left[:, (sizes ** 2 > 2 * shift)][:, :rank]
 
 
-def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> list[Retriever]:
+def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> list[Retriever | Phrases]:
     """A retriever for each block of items. Counts and the SVD go over all rows and whole texts of ``docs(text)``.
 
-    Items with a null text or under ``LEAST_WORDS`` words are left out;
-    repeated items stay and are each reported. An empty benchmark gives none.
+    Items without a word are left out; those under ``LEAST_WORDS`` words are
+    looked for as they stand. Repeated items stay and are each reported. An empty benchmark gives none.
     """
     bounded_batches(docs.sparkSession)
     out = []
     for block in _blocks(benchmark):
-        vocabulary = Vocabulary(sorted({w for _, words, answer in block for w in words + answer}))
+        short = len(block[0][1]) < LEAST_WORDS
+        vocabulary = Vocabulary(sorted({w for _, words, answer in block for w in words + answer} | ({""} if short else set())))
         number = {w: k + 1 for k, w in enumerate(vocabulary.words)}
         items = [Item(i, tuple(number[w] for w in words), tuple(number[w] for w in answer)) for i, words, answer in block]
+        if short:
+            out.append(Phrases(vocabulary, items))
+            continue
         size = len(vocabulary.words)
         ids = _document_ids(docs, vocabulary)
         counts, passages = _passage_counts(ids, size)
@@ -344,7 +395,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> list[Retriever
 _LEAK = "array<struct<item: int, cosine: double, lcs: double, answer: boolean, first_word: long>>"
 
 
-def _leaks(text: Column, retriever: Retriever) -> Column:
+def _leaks(text: Column, retriever: Retriever | Phrases) -> Column:
     @F.pandas_udf(_LEAK)
     def found(texts: pd.Series) -> pd.Series:
         rows = retriever.leaks(pa.array(texts, pa.large_string(), from_pandas=True))
@@ -356,7 +407,9 @@ def _leaks(text: Column, retriever: Retriever) -> Column:
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, cosine, lcs, answer, first_word``: the items that a document leaks, and where the best stretch begins.
 
-    Documents without a leak have no row, as have null and empty texts.
+    Documents without a leak have no row, as have null and empty texts. An item
+    under ``LEAST_WORDS`` words has no cosine: it leaks if it stands in a text
+    word for word, with its answer nearby if one is given.
     Repeated documents have rows each. ``benchmark`` has ``item_id, text`` and
     may have ``answer``. Columns beside those are ignored.
     """

@@ -375,6 +375,15 @@ def test_benchmarks_of_several_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(5)}
 
 
+def test_short_items_leak_word_for_word(spark):
+    rows = [(1, prose(1, 80) + " Who wrote -- Faust? " + prose(2, 80)), (2, "who faust wrote"), (3, "who wrote the faust"), (4, "He asked: who wrote Faust"), (5, "who wrote"), (6, "faust"),
+            (7, "What is water? A liquid."), (8, "What is water? Nobody knows."), (9, None), (10, "--")]
+    bench = spark.createDataFrame([(1, "Who wrote Faust?", None), (2, "What is water?", "a liquid"), (3, "", None), (4, prose(9, 40), None)], BENCH + ", answer string")
+    got = latent.benchmark_leaks(docs(spark, rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["first_word"], r["answer"]) for r in got) == [(1, 1, 80, False), (4, 1, 2, False), (7, 2, 0, True)]
+    assert sorted(r["doc_id"] for r in latent.without_leaks(docs(spark, rows), bench).collect()) == [2, 3, 5, 6, 8, 9, 10]
+
+
 # --- languages ------------------------------------------------------------------------------------------------------
 
 def test_languages(spark):
