@@ -28,8 +28,8 @@ ORDERS = (1, 2, 3)
 MARK = 1
 #: N-grams in a profile, and of a document.
 PROFILE = 300
-#: Most documents for each language, and most languages, that profiles are made of.
-SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 3_000, 1_000
+#: Most documents for each language that profiles are made of.
+SAMPLE_PER_LANGUAGE = 3_000
 #: Parts that a language's documents are drawn from first.
 PARTS = 64
 #: Characters of a text that are looked at together.
@@ -134,8 +134,8 @@ def _counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     """Profiles from at most ``per_language`` documents of each language, chosen by a hash of the id; never from held-out rows.
 
-    Rows with a null id, text or language teach nothing. Of more than
-    ``MOST_LANGUAGES`` languages those with most n-grams get a profile.
+    Rows with a null id, text or language teach nothing. Every other language
+    gets a profile, ``PROFILE`` keys that every task holds.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -152,8 +152,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     counts = chosen.select("lang", "text").mapInPandas(_counted, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     best = counts.withColumn("place", F.row_number().over(top)).where(F.col("place") <= PROFILE)
-    languages = best.groupBy("lang").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", "key"))).alias("top"))
-    rows = sorted(languages.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect(), key=lambda r: r["lang"])
+    languages = best.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "key"))).alias("top"))
+    rows = sorted(languages.collect(), key=lambda r: r["lang"])
     return Profiles(tuple(r["lang"] for r in rows), tuple(np.array([x["key"] for x in r["top"]], dtype=np.int64) for r in rows))
 
 

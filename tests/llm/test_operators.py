@@ -1,6 +1,7 @@
 """Operators on small hand-written tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -401,6 +402,14 @@ def test_languages(spark):
     assert langid.language_predictions(docs(spark, [])).count() == 0
 
 
+def test_every_language_gets_a_profile(spark):
+    learned = [i for i in range(1500) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, chr(0x4E00 + 2 * i) * 3 + " " + chr(0x4E01 + 2 * i), f"l{i}") for i in range(1500)]
+    profiles = langid.fit(docs(spark, rows))
+    assert len(learned) > 1000 and sorted(profiles.languages) == sorted(f"l{i}" for i in learned)
+    assert all(langid.identify(rows[i][1], profiles)[0] == f"l{i}" for i in learned[::100])
+
+
 def test_ngrams_and_ranks_by_hand():
     keys, counts = langid.ngram_counts("Ab, ab!")
     named = {}
