@@ -22,7 +22,7 @@ from claimloom.llm.labelled import labelled_sample
 
 #: Words in a passage.
 PASSAGE = 64
-#: Most labelled documents that are learned from, and most passages of one of them; longer ones teach nothing.
+#: Most labelled documents that are learned from, and most passages of one of them, drawn over its whole text.
 SAMPLE_ROWS, SAMPLE_PASSAGES = 8_000, 400
 HIDDEN, GATES, EPOCHS, BATCH, RATE = 24, 12, 40, 128, 0.01
 THRESHOLD = 0.7
@@ -91,6 +91,13 @@ def encode_passages(text: str | None) -> np.ndarray:
     ]).astype(np.float32)
 
 
+def drawn_passages(bag: np.ndarray) -> np.ndarray:
+    """At most ``SAMPLE_PASSAGES`` of a text's passages, in order; which ones follows from their number."""
+    if len(bag) <= SAMPLE_PASSAGES:
+        return bag
+    return bag[np.sort(np.random.default_rng(len(bag)).permutation(len(bag))[:SAMPLE_PASSAGES])]
+
+
 @dataclass
 class AttentionModel:
     mean: np.ndarray
@@ -162,11 +169,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
     @F.pandas_udf(T.BinaryType())
     def encoded(texts: pd.Series) -> pd.Series:
-        bags = (encode_passages(t) for t in texts)
-        return pd.Series([b.tobytes() if len(b) <= SAMPLE_PASSAGES else None for b in bags], dtype=object)
+        return pd.Series([drawn_passages(encode_passages(t)).tobytes() for t in texts], dtype=object)
 
     sample = labelled_sample(docs, labels, label, rows)
-    bags = written(sample.select("doc_id", "label", encoded("text").alias("bag")), "bags").where("bag is not null")
+    bags = written(sample.select("doc_id", "label", encoded("text").alias("bag")), "bags")
     found = bags.orderBy("doc_id").toPandas()
     return train([np.frombuffer(b, dtype=np.float32).reshape(-1, WIDTH) for b in found["bag"]], found["label"].astype(int).tolist())
 

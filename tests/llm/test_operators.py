@@ -502,6 +502,13 @@ def test_obfuscated_words_count_as_hits():
     assert not lexicon.flag("10")
 
 
+def test_very_long_documents_are_learned_from(spark):
+    rows = [(i, " ".join((["plain", "words"] if i % 2 else ["|||<>", "99999"]) * 13_500)) for i in range(16)]
+    model = quality.fit(docs(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id long, quality int"))
+    assert model.constant is None
+    assert all((model.score(quality.encode_passages(t)) > 0.5) == bool(i % 2) for i, t in rows)
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(n, quality.WIDTH)) for n in (1, 3, 5)]
