@@ -18,7 +18,7 @@ is worked on in blocks of items, so what a task holds is bounded by
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import bounded_batches, text_or_empty, written
+from claimloom.llm.common import bounded_batches, small_or_shuffled, text_or_empty, written, written_counting
+from claimloom.session import scratch_dir
 
 #: Words of a half passage; passages are two of them and overlap by one.
 HALF = 32
@@ -346,21 +347,20 @@ def singular_vectors(gram_random: np.ndarray, random: np.ndarray, rank: int) ->
     return left[:, (sizes ** 2 > 2 * shift)][:, :rank]
 
 
-def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> list[Retriever | Phrases]:
-    """A retriever for each block of items. Counts and the SVD go over all rows and whole texts of ``docs(text)``.
+def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> Iterator[Retriever | Phrases]:
+    """A retriever for each block of items, made when it is asked for. Counts and the SVD go over all rows and whole texts of ``docs(text)``.
 
     Items without a word are left out; those under ``LEAST_WORDS`` words are
     looked for as they stand. Repeated items stay and are each reported. An empty benchmark gives none.
     """
     bounded_batches(docs.sparkSession)
-    out = []
     for block in _blocks(benchmark):
         short = len(block[0][1]) < LEAST_WORDS
         vocabulary = Vocabulary(sorted({w for _, words, answer in block for w in words + answer} | ({""} if short else set())))
         number = {w: k + 1 for k, w in enumerate(vocabulary.words)}
         items = [Item(i, tuple(number[w] for w in words), tuple(number[w] for w in answer)) for i, words, answer in block]
         if short:
-            out.append(Phrases(vocabulary, items))
+            yield Phrases(vocabulary, items)
             continue
         size = len(vocabulary.words)
         ids = _document_ids(docs, vocabulary)
@@ -388,8 +388,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> list[Retriever
         folded = (rows @ basis) @ basis.T
         length = np.sqrt((rows ** 2).sum(axis=1))
         parts = (idf[:, None] * (folded / np.maximum(length, 1e-12)[:, None]).T).astype(np.float32)
-        out.append(Retriever(vocabulary, items, owner, idf, parts))
-    return out
+        yield Retriever(vocabulary, items, owner, idf, parts)
 
 
 _LEAK = "array<struct<item: int, cosine: double, lcs: double, answer: boolean, first_word: long>>"
@@ -404,6 +403,17 @@ def _leaks(text: Column, retriever: Retriever | Phrases) -> Column:
     return found(text)
 
 
+def _each_block(docs: DataFrame, benchmark: DataFrame, rows: Callable[[Retriever | Phrases], DataFrame], name: str) -> DataFrame | None:
+    """The rows that every block gives, written before the next block is fitted, so one retriever is alive; nothing without a block."""
+    path, schema, blocks = scratch_dir(docs.sparkSession, f"llm-{name}"), None, fit(docs, benchmark)
+    while (retriever := next(blocks, None)) is not None:
+        found = rows(retriever)
+        found.write.mode("append").parquet(path)
+        schema = found.schema
+        del retriever, found
+    return None if schema is None else docs.sparkSession.read.schema(schema).parquet(path)
+
+
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, cosine, lcs, answer, first_word``: the items that a document leaks, and where the best stretch begins.
 
@@ -413,12 +423,14 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Repeated documents have rows each. ``benchmark`` has ``item_id, text`` and
     may have ``answer``. Columns beside those are ignored.
     """
-    found = None
-    for retriever in fit(docs, benchmark):
-        names = F.array(*[F.lit(i.item_id) for i in retriever.items])
+    kind = benchmark.schema["item_id"].dataType
+
+    def rows(retriever: Retriever | Phrases) -> DataFrame:
+        names = F.array(*[F.lit(i.item_id).cast(kind) for i in retriever.items])
         hits = docs.select("doc_id", F.explode(_leaks(F.col("text"), retriever)).alias("l"))
-        rows = hits.select("doc_id", F.get(names, F.col("l.item")).alias("item_id"), "l.cosine", "l.lcs", "l.answer", "l.first_word")
-        found = rows if found is None else found.unionByName(rows)
+        return hits.select("doc_id", F.get(names, F.col("l.item")).alias("item_id"), "l.cosine", "l.lcs", "l.answer", "l.first_word")
+
+    found = _each_block(docs, benchmark, rows, "leaks")
     if found is None:
         found = docs.join(benchmark.select("item_id"), F.lit(False)).select(
             "doc_id", "item_id", F.lit(0.0).alias("cosine"), F.lit(0.0).alias("lcs"), F.lit(False).alias("answer"), F.lit(0).cast("long").alias("first_word"))
@@ -427,7 +439,13 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, all their columns as they are; null and empty texts stay."""
-    out = docs
-    for retriever in fit(docs, benchmark):
-        out = out.where(F.size(_leaks(F.col("text"), retriever)) == 0)
-    return out
+    digest = F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+
+    def leaking(retriever: Retriever | Phrases) -> DataFrame:
+        return docs.where(F.size(_leaks(F.col("text"), retriever)) > 0).select(digest.alias("_leak")).distinct()
+
+    found = _each_block(docs, benchmark, leaking, "leaking")
+    if found is None:
+        return docs
+    found, seen = written_counting(found.distinct(), "leaking-texts", n=F.count(F.lit(1)))
+    return docs.join(small_or_shuffled(found, seen["n"]), digest == F.col("_leak"), "left_anti")

@@ -1,6 +1,8 @@
 """Operators on small hand-written tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import gc
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -376,6 +378,26 @@ def test_benchmarks_of_several_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(5)}
 
 
+def test_one_block_is_alive_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(latent, "BLOCK_PASSAGES", 1)
+    real, made, most = latent.fit, [], []
+
+    def watched(*args):
+        for retriever in real(*args):
+            made.append(weakref.ref(retriever))
+            gc.collect()
+            most.append(sum(r() is not None for r in made))
+            yield retriever
+            del retriever
+
+    monkeypatch.setattr(latent, "fit", watched)
+    items = [prose(200 + i, 40) for i in range(4)]
+    frame, bench = docs(spark, [(i, prose(i, 60) + " " + items[i]) for i in range(4)] + [(9, prose(9, 100))]), spark.createDataFrame(list(enumerate(items)), BENCH)
+    assert {(r["doc_id"], r["item_id"]) for r in latent.benchmark_leaks(frame, bench).collect()} == {(i, i) for i in range(4)}
+    assert [r["doc_id"] for r in latent.without_leaks(frame, bench).collect()] == [9]
+    assert len(made) == 8 and max(most) <= 2
+
+
 def test_short_items_leak_word_for_word(spark):
     rows = [(1, prose(1, 80) + " Who wrote -- Faust? " + prose(2, 80)), (2, "who faust wrote"), (3, "who wrote the faust"), (4, "He asked: who wrote Faust"), (5, "who wrote"), (6, "faust"),
             (7, "What is water? A liquid."), (8, "What is water? Nobody knows."), (9, None), (10, "--")]
