@@ -320,6 +320,17 @@ def test_near_duplicates_of_contiguous_edits_are_all_found(spark, monkeypatch, c
     assert linked > 100 and sorted(r["doc_id"] for r in got) == sorted({top(i) for i in texts})
 
 
+def test_near_duplicates_of_repetitive_texts_with_a_list(spark):
+    rng = random.Random(4)
+    known = [f"w{i}" for i in range(1000)]
+    text = [rng.choice(known) for _ in range(5000)]
+    longer = text + [f"code{i}" for i in range(1000)]
+    a, b = shingles_of(" ".join(text)), shingles_of(" ".join(longer))
+    assert len(a & b) / len(a | b) >= 0.8
+    rows = [(1, " ".join(text)), (2, " ".join(longer)), (3, prose(3, 100))]
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(docs(spark, rows)).collect()) == [1, 3]
+
+
 # --- decontamination ----------------------------------------------------------------------------------------------
 
 BENCH = "item_id long, text string"
