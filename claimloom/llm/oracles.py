@@ -75,8 +75,34 @@ FROM plain
 WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
 """
 
+FILL_IN_MIDDLE = r"""
+WITH plain AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS drawn
+  FROM documents),
+numbers AS (
+  SELECT *, len(units) AS n, list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(drawn, k, 8))::BIGINT) AS h FROM plain),
+cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+              WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix FROM cuts)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES = {
     "op3_mix_sources": MIX,
     "op9_shard": SHARD,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from claimloom.llm.bitpack import token_digests, write_packed
 from claimloom.llm.common import table
 from claimloom.llm.content_sort import exact_groups
+from claimloom.llm.conversations import damaged, repair_report
+from claimloom.llm.fim import fim_digests
 from claimloom.llm.langid import language_predictions
 from claimloom.llm.latent import benchmark_leaks
+from claimloom.llm.lattice import similar_vectors
 from claimloom.llm.licenses import scan_licenses
 from claimloom.llm.maglev import place
 from claimloom.llm.mixing import mix
@@ -65,6 +68,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    return repair_report(convs, damaged(convs))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bit_packed_tokens": op1_bit_packed_tokens,
     "op2_toxicity": op2_toxicity,
@@ -76,4 +92,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_shard": op9_shard,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

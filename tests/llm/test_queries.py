@@ -44,7 +44,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 14))
 
 
 def test_token_ids_read_back(spark, documents):
@@ -133,3 +133,21 @@ def test_leaks_are_the_documents_that_hold_an_item(spark):
     want = {(d, i) for i, text in items for d in held if words(text) in held[d]}
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op5_decontaminate"](spark, "/root/testdata/sf0.01").collect()}
     assert got == want and want
+
+
+def test_conversations_are_repaired(spark):
+    from test_new_operators import brute_repairs
+
+    rows = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{SF_DIR}/conversations.parquet'").fetchall()
+    want = brute_repairs(rows)
+    got = {r["conv_id"]: tuple(r)[1:] for r in QUERIES["op11_conversation_repair"](spark, SF_DIR).collect()}
+    assert got == want and len(want) >= 20
+
+
+def test_embeddings_link_as_by_brute_force(spark):
+    from test_new_operators import brute_links
+
+    # Copies and near copies are few in this table, so every other test of links uses planted ones.
+    rows = duckdb.sql("SELECT vec_id, embedding, label FROM '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
+    got = sorted(tuple(r) for r in QUERIES["op12_embedding_near_dedup"](spark, "/root/testdata/sf0.1").collect())
+    assert got == brute_links(rows)
