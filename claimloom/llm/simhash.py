@@ -14,20 +14,11 @@ visitors are verified against its ``PIVOTS`` smallest entries first, and then
 only pairs that are still in different components. Pairs within a component
 could add no more to it, so components are exact, and the work stays in
 proportion to the bucket's size and what is outside its largest component.
-
-Near-duplicates by similarity (``drop_near_duplicates``) need no fingerprint:
-their candidates come from an exact prefix filter over whole shingle sets.
-All shingles stand in one order. Sets of ``m`` shingles whose Jaccard
-similarity is ``t`` or more share one of their first ``m - ceil(t * m) + 1``;
-the first one that two sets share has at least their overlap behind it in
-both, and a parity of each set bounds from below in how many shingles they
-differ. So no pair is lost, and the order decides only how many are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -35,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import bounded_batches, components, small_or_shuffled, written, written_counting
+from claimloom.llm.common import bounded_batches, components, discard, small_or_shuffled, text_or_empty, written, written_counting
 from claimloom.llm.words import shingle_hashes
 
 CROWD, PIVOTS = 64, 32
@@ -150,6 +141,14 @@ def links(nodes: DataFrame, lanes: int, find_bits: int, verify: Callable[[DataFr
     return first.unionByName(written(verify(again.distinct()), "links"))
 
 
+def _parts(prints: DataFrame, bits: int) -> DataFrame:
+    """``(fp, part)`` for distinct fingerprints of a written table: the smallest fingerprint reachable over links."""
+    # A node's id is its fingerprint.
+    nodes = prints.select(F.col("fp").alias("id"), F.array("fp").alias("lanes"))
+    parts = components(links(nodes, 1, bits, hamming_links(nodes, 1, bits)), "simhash")
+    return prints.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("part"))
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, fingerprint, component_id``.
 
@@ -162,196 +161,47 @@ def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     marked = written(docs.select("doc_id", fingerprint(F.col("text"), shingle)[0].alias("fp")), "fingerprints")
-    # A node's id is its fingerprint.
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
-    nodes = classes.select(F.col("fp").alias("id"), F.array("fp").alias("lanes"))
-    parts = components(links(nodes, 1, bits, hamming_links(nodes, 1, bits)), "simhash")
-    joined = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("part", F.coalesce("component", "fp"))
+    joined = classes.join(_parts(classes.select("fp"), bits), "fp")
     smallest = joined.groupBy("part").agg(F.min("first_id").alias("component_id"))
     named = joined.select("fp", "part").join(smallest, "part").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The order of shingles is by hash, but those in ``FREQUENT`` or more of about ``ORDER_TEXTS`` texts come last, at most ``LAST_SHINGLES``.
-ORDER_TEXTS, FREQUENT, LAST_SHINGLES = 10_000, 4, 200_000
-#: Bits of a set's parity, and entries of a crowded bucket that its others are compared with first.
-PARITY, SIMILAR_PIVOTS = 512, 4
-#: Below any step between two shares of shingles, above the rounding of doubles.
-TINY = 1e-6
-
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes."""
-    pieces = list(shingle_hashes(text, shingle))
-    return np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, "<u8")
-
-
-class Order:
-    """All shingles by hash, but the given ones come last, in the order given."""
-
-    def __init__(self, last: np.ndarray):
-        self.place = np.argsort(last, kind="stable")
-        self.last = last[self.place]
-
-    def first(self, shingles: np.ndarray, most: int) -> np.ndarray:
-        """The first ``most`` of distinct shingles sorted by hash."""
-        if not len(self.last):
-            return shingles[:most]
-        at = np.minimum(np.searchsorted(self.last, shingles), len(self.last) - 1)
-        late = self.last[at] == shingles
-        first = shingles[~late][:most]
-        if len(first) < most:
-            first = np.concatenate((first, shingles[late][np.argsort(self.place[at[late]])][:most - len(first)]))
-        return first
-
-
-def prefix(text: str | None, shingle: int, similarity: float, order: Order) -> tuple[int, np.ndarray, np.ndarray]:
-    """Size, first shingles and parity of a text's set; texts without words have one shingle, the same one, so that they meet."""
-    every = shingle_set(text, shingle)
-    if not len(every):
-        every = np.zeros(1, "<u8")
-    first = order.first(every, len(every) - ceil(similarity * len(every) - TINY) + 1)
-    parity = np.packbits((np.bincount((every >> np.uint64(55)).astype(np.int64), minlength=PARITY) & 1).astype(np.uint8))
-    return len(every), first.view("<i8"), parity.view("<i8")
-
-
-@F.pandas_udf(T.DoubleType())
-def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: bytes, y: bytes) -> float:
-        x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        return shared / (len(x) + len(y) - shared) if len(x) + len(y) else 1.0
-
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
-
-
 def _digest() -> Column:
     """Of a text; a null text counts as empty."""
-    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-
-
-def last_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
-    """The most frequent shingles of some of the texts, rarest first. Equal texts count once."""
-    every = max(1, docs.count() // ORDER_TEXTS)
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).groupBy(_digest().alias("digest")).agg(F.min("text").alias("text"))
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def shingled(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).view("<i8") for t in texts], dtype=object)
+    return F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
 
-    counts = some.select(F.explode(shingled("text")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "key").limit(LAST_SHINGLES).toPandas()
-    return top["key"].to_numpy(dtype="<i8")[::-1].copy().view("<u8")
 
-
-def similar_pairs(docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
-    """Keeps those of given pairs ``(a, b)`` of classes whose texts share enough shingles.
-
-    ``classes(id, doc_id, digest)`` names a document for each id. Only texts of
-    documents in the given pairs are cut into shingles.
-    """
-    @F.pandas_udf(T.BinaryType())
-    def shingled(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
-
-    def keep(pairs: DataFrame) -> DataFrame:
-        close = written(pairs, "close")
-        met = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-        named, seen = written_counting(classes.join(met, "id", "left_semi").select("id", "doc_id", "digest"), "met", n=F.count(F.lit(1)))
-        wanted = small_or_shuffled(named.withColumnRenamed("doc_id", "its_id"), seen["n"])
-        texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("its_id")))
-        texts = texts.where(_digest() == F.col("digest"))
-        # A repeated row stands for its class once.
-        sets = written(texts.select("id", shingled("text").alias("shingles")).groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
-        both = (close.join(sets.withColumnRenamed("id", "a").withColumnRenamed("shingles", "x"), "a")
-                .join(sets.withColumnRenamed("id", "b").withColumnRenamed("shingles", "y"), "b"))
-        return both.where(_jaccard("x", "y") >= similarity).select("a", "b")
-
-    return keep
-
-
-def _candidates(a: DataFrame, b: DataFrame, similarity: float, also: Column | bool = True) -> DataFrame:
-    """Distinct pairs of ids that share a key and may be similar by what stands behind it and by their parities."""
-    a, b = a.alias("a"), b.alias("b")
-    sizes = F.col("a.size") + F.col("b.size")
-    need = F.ceil(sizes * (similarity / (1 + similarity)) - TINY)
-    behind = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
-    unlike = distance("a.parity", "b.parity", PARITY // 64)
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id")) & (behind >= need) & (unlike <= sizes - 2 * need) & F.lit(also))
-    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-
-
-def similar_links(marked: DataFrame, classes: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], crowd: int = CROWD) -> DataFrame:
-    """Links ``(a, b)`` among ``classes(id)`` that connect the same ids as all similar pairs.
-
-    ``marked(id, size, keys, parity)`` has the prefixes; crowded buckets are
-    worked on as in ``links``.
-    """
-    often = marked.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    entries = marked.join(classes.select("id"), "id", "left_semi").select("id", "size", F.posexplode("keys").alias("at", "key"))
-    shared = written(entries.join(often, "key", "left_semi").select("key", "id", "size", "at"), "shared")
-    # Of keys with the same ids the first in order is enough: where it stands in one set tells which that is.
-    who = F.xxhash64("id", F.lit(7))
-    buckets = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(who).alias("y"),
-                                        F.min(F.struct("id", "at")).alias("first"))
-    alike = buckets.where("n > 1").groupBy("n", "x", "y", "first.id").agg(F.min(F.struct("first.at", "key")).alias("m"))
-    kept = alike.select("m.key", "n")
-    parities = marked.select("id", "parity")
-    met, seen = written_counting(shared.join(kept, "key").join(parities, "id"), "met", n=F.sum(F.when(F.col("n") > crowd, 1)))
-    few = met.where(F.col("n") <= crowd)
-    pairs = _candidates(few, few, similarity, F.col("a.id") < F.col("b.id"))
-    if not seen["n"]:
-        return written(verify(pairs), "links")
-
-    visitors = met.where(F.col("n") > crowd)
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", "key")))
-    pivots = visitors.withColumn("place", place).where(F.col("place") <= SIMILAR_PIVOTS)
-    first = written(verify(pairs.unionByName(_candidates(visitors, pivots, similarity)).distinct()), "links")
-
-    parts = components(first, "crowd").withColumnRenamed("node", "id")
-    tagged = written(visitors.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")), "tagged")
-    largest = tagged.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
-    outside = tagged.join(largest, "key").where("part <> largest")
-    again = _candidates(outside, tagged, similarity, F.col("a.part") != F.col("b.part"))
-    return first.unionByName(written(verify(again), "links"))
-
-
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
     """The rows of ``docs(doc_id, text, ...)`` without near-duplicates: one row of each group stays, all its columns as they are.
 
-    Documents link if the Jaccard similarity of their ``shingle``-word
-    shingles is ``similarity`` or more, and groups are the components of those
-    links: all of them, by the exact prefix filter above. Equal texts are one
-    class; a null text is an empty one and texts without words are alike. Of a
-    group the row with the smallest id stays (null ids last, then the smallest
-    digest); of rows that repeat id and text one stays.
+    Groups are those of ``near_groups``: components of links between
+    fingerprints that differ in at most ``bits`` bits. Of a group the row with
+    the smallest id stays (null ids last, then the smallest digest of the
+    text); of rows that repeat id and text one stays. A null text is an empty
+    one; texts without words are alike.
     """
     bounded_batches(docs.sparkSession)
-    in_order = Order(last_shingles(docs, shingle))
-
-    @F.pandas_udf("size long, keys array<long>, parity array<long>")
-    def prefixed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([prefix(t, shingle, similarity, in_order) for t in texts], columns=["size", "keys", "parity"])
-
-    marked = docs.select("doc_id", _digest().alias("digest"), prefixed("text").alias("p")).withColumn("id", F.monotonically_increasing_id())
-    marked = written(marked.select("id", "doc_id", "digest", "p.*"), "marks")
+    marked = written(docs.select("doc_id", _digest().alias("digest"), fingerprint(F.col("text"), shingle)[0].alias("fp")), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
-    units = marked.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
-    best = units.groupBy("digest").agg(F.min(F.struct(order.alias("at"), "n", "id")).alias("m"))
-    classes = written(best.select("digest", "m.at.doc_id", "m.n", "m.id"), "classes")
-    parts = components(similar_links(marked, classes, similarity, similar_pairs(docs, classes, shingle, similarity)), "near")
-    grouped = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
-    firsts = grouped.groupBy("part").agg(F.min(F.struct(order.alias("at"), "digest", "n")).alias("m")).select("m.at.doc_id", "m.digest", "m.n")
-    firsts = written(firsts, "firsts")
+    units = marked.groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct(order.alias("at"), "digest", "n")).alias("m")
+    classes = written(units.groupBy("fp").agg(best), "fingerprint-classes")
+    parts = _parts(classes.select("fp"), bits)
+    firsts = classes.join(parts, "fp").select("part", "m.*").groupBy("part").agg(F.min(F.struct("at", "digest", "n")).alias("m"))
+    firsts = written(firsts.select("m.at.doc_id", "m.digest", "m.n"), "firsts")
     # What goes: all other rows, and for now the rows that stay but are repeated.
     stays = firsts.where("n = 1").select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest"))
     same = F.col("doc_id").eqNullSafe(F.col("_near_id")) & (F.col("digest") == F.col("_near_digest"))
     goes, gone = written_counting(marked.select("doc_id", "digest").distinct().join(stays, same, "left_anti")
                                   .select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest")), "goes", n=F.count(F.lit(1)))
+    discard(marked, classes)
     told = docs.select("doc_id", _digest().alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     out = told.join(small_or_shuffled(goes, gone["n"]), same, "left_anti").select("row.*")
     repeated, more = written_counting(firsts.where("n > 1").select(F.col("doc_id").alias("_near_id"), F.col("digest").alias("_near_digest")), "repeated", n=F.count(F.lit(1)))
+    discard(firsts)
     if more["n"]:
         once = (told.join(small_or_shuffled(repeated, more["n"]), same, "left_semi")
                 .dropDuplicates(["doc_id", "digest"]))

@@ -24,11 +24,6 @@ def ids(frame):
     return [r["doc_id"] for r in frame.select("doc_id").collect()]
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
-
-
 def test_columns(stages):
     for frame in stages[:-1]:
         assert frame.columns == stages[0].columns
@@ -46,22 +41,12 @@ def test_toxic_documents_go(spark, stages):
 
 
 def test_one_of_each_group_of_near_duplicates_stays(stages):
-    texts = {r["doc_id"]: shingles(r["text"]) for r in stages[1].select("doc_id", "text").collect()}
-    parent = {d: d for d in texts}
-
-    def top(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    order = sorted(texts)
-    for i, a in enumerate(order):
-        for b in order[:i]:
-            shared = len(texts[a] & texts[b])
-            if shared and shared / len(texts[a] | texts[b]) >= 0.8:
-                x, y = top(a), top(b)
-                parent[max(x, y)] = min(x, y)
-    assert sorted(ids(stages[2])) == sorted({top(d) for d in texts})
+    from test_queries import brute_components, brute_fingerprint
+
+    prints = {r["doc_id"]: brute_fingerprint(r["text"]) for r in stages[1].select("doc_id", "text").collect()}
+    ids_ = list(prints)
+    linked = [(a, b) for i, a in enumerate(ids_) for b in ids_[:i] if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert linked and sorted(ids(stages[2])) == sorted(set(brute_components(ids_, linked).values()))
 
 
 def test_leaking_documents_go(spark, stages):
