@@ -22,6 +22,9 @@ from claimloom.llm.mixing import mixed
 from claimloom.llm.queries import SHARDS
 from claimloom.llm.simhash import drop_near_duplicates
 
+#: Words of a shingle, and most differing bits of fingerprints that link.
+SHINGLE, BITS = 3, 2
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier, fitted on the labels of these documents, calls toxic."""
@@ -31,19 +34,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar by 0.8 or more."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near-duplicates, as the registered SimHash query forms them; null texts are empty ones."""
+    return drop_near_duplicates(docs, SHINGLE, BITS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that leak a benchmark item; null and empty texts stay, and all documents if there is no item."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents left out or repeated so that every source comes near its target; texts without words are in no mix that needs words."""
     return mixed(docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with ``slot`` and ``shard`` by their id; columns of those names are replaced."""
     return place(docs, SHARDS)
 
 
