@@ -17,18 +17,17 @@ from claimloom.operators.adapters import ORDER
 from claimloom.operators.dedup import distinct_reviews
 from claimloom.operators.sampling import sample_rows
 from claimloom.schema import CLAIM_PAYLOAD, FEED_ITEM, RAW_ARTICLES, RUN_RECORD
+from claimloom.sources.records import BLOCK, FILE, csv_records, feed_items
 
 # Doubled quotes and line breaks inside quoted fields, as CSV writers of other tools produce them. A row with more or
 # fewer fields than its header fails the job instead of giving shifted values; so does a file whose header differs.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
+# One record at a time; ``multiLine`` leaves line breaks inside fields as they are.
+RECORD_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true"}
 
 
 def _in_input_order(df: DataFrame) -> DataFrame:
-    """Number rows so that they sort as they stand in the files, file after file.
-
-    A multi-line file is read by one task, in order. Land large collections as
-    many files: files, not rows, are then the unit of parallelism.
-    """
+    """Number rows so that they sort as they stand in the files, file after file and block after block."""
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -48,14 +47,18 @@ def read_raw_csv(
 
     Columns of ``schema`` come first, in its order; those the files lack are
     absent, so that ``require_columns`` sees it; others follow. Files below one
-    path share a header; give paths with different headers one by one. Without
-    ``multi_line``, for files known to hold no line break inside a field, Spark
-    splits within files.
+    path share a header; give paths with different headers one by one. Large
+    files are read in blocks by many tasks. Without ``multi_line``, for files
+    known to hold no line break inside a field, one scan is enough; with it
+    the texts are scanned twice, and records that hold line breaks are
+    shuffled.
     """
     def one(at: str) -> DataFrame:
         header = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(at).columns
         found = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        rows = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(found).csv(at)
+        if multi_line:
+            return _parsed(csv_records(spark, at), found, ordered)
+        rows = spark.read.options(**CSV_OPTIONS).schema(found).csv(at)
         return _in_input_order(rows) if ordered else rows
 
     paths = [path] if isinstance(path, str) else list(path)
@@ -63,6 +66,26 @@ def read_raw_csv(
     return na_tokens_to_null(_contract_first(raw, schema))
 
 
+def _ddl(found: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in found.fields)
+
+
+def _parsed(records: DataFrame, found: T.StructType, ordered: bool) -> DataFrame:
+    """Numbered records as rows of ``found``; the first one of each file has to be that header."""
+    first = F.col("record") == 1
+    line = F.when(first, F.ltrim(F.col("line"), F.lit("\ufeff"))).otherwise(F.col("line"))
+    rows = records.select(FILE, "record", F.from_csv(line, _ddl(found), RECORD_OPTIONS).alias("row"))
+    names = [f.name for f in found.fields]
+    same = F.lit(True)
+    for k, name in enumerate(names):
+        field = F.coalesce(F.col("row").getField(name), F.lit(f"_c{k}"))
+        same = same & (F.lower(field) == name.lower())
+    other = F.raise_error(F.concat(F.lit("the header differs from the first one in "), F.col(FILE))).cast("boolean")
+    kept = rows.where(F.when(first, F.when(same, False).otherwise(other)).otherwise(True))
+    position = F.struct(F.col(FILE).alias("file"), F.lit(0).cast("long").alias("block"), F.col("record").alias("row"))
+    return kept.select("row.*", *[position.alias(ORDER)] if ordered else [])
+
+
 def _contract_first(raw: DataFrame, schema: T.StructType) -> DataFrame:
     listed = [name for name in schema.fieldNames() if name in raw.columns]
     return raw.select(*listed, *[F.col(f"`{name}`") for name in raw.columns if name not in listed])
@@ -143,9 +166,11 @@ def feed_posts(items: DataFrame, pivot_year: int | None = None) -> DataFrame:
 
 
 def parse_post_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Stored RSS documents, one row per item, with ``input_order``."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path)
-    return feed_posts(_in_input_order(items))
+    """Stored RSS documents, one row per item, with ``input_order``; a large document is read by many tasks."""
+    items = feed_items(spark, path)
+    position = F.struct(F.col(FILE).alias("file"), F.col(BLOCK).alias("block"), F.col("_item").alias("row"))
+    read = items.select(F.from_xml("xml", FEED_ITEM, {"rowTag": "item"}).alias("item"), position.alias(ORDER))
+    return feed_posts(read.select("item.*", ORDER))
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
