@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimloom.operators.incremental import new_posts
-from claimloom.session import shared_dir
+from claimloom.session import folder_exists, shared_dir
+from claimloom.streaming.seen import BUCKETS, SeenKeys
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -47,30 +47,34 @@ def start_post_dedup(posts: DataFrame, output: str, checkpoint: str, **options)
     )
 
 
-def _stored_before(spark: SparkSession, output: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """Posts that earlier polls wrote. A poll that runs again does not see its own first try."""
-    try:
-        stored = spark.read.option("basePath", output).parquet(output)
-    except AnalysisException as error:
-        if not any(code in str(error) for code in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-            raise
-        return spark.createDataFrame([], like.schema)
-    return stored.filter(F.col("poll") < batch_id).select(*like.columns)
+def _seed(spark: SparkSession, output: str, seen: SeenKeys, batch_id: int) -> None:
+    """Fill a store that is not there yet with what earlier polls left in ``output``."""
+    if folder_exists(spark, seen.root) or not folder_exists(spark, output):
+        return
+    stored = spark.read.schema("guid string, poll long").option("basePath", output).parquet(f"{output}/poll=*")
+    seen.remember(stored.where(F.col("poll") < batch_id), -1)
 
 
 def start_post_append(
-    posts: DataFrame, output: str, checkpoint: str, spread_by: Sequence[str] = ("post_text", "pub_date")
+    posts: DataFrame, output: str, checkpoint: str, spread_by: Sequence[str] = ("post_text", "pub_date"), buckets: int = BUCKETS
 ) -> StreamingQuery:
     """The batch contract poll by poll: append what is not stored, forget nothing.
 
-    Compares with the stored posts instead of keeping state, so copies inside
-    one poll stay, and no guid ever returns. Each poll owns a folder, which a
-    repeated poll overwrites.
+    Keeps no state: guids are looked up in a store beside the posts
+    (``SeenKeys``), of which a poll reads the buckets it meets. So copies
+    inside one poll stay, no guid ever returns, and no post is too late. Each
+    poll owns a folder, which a repeated poll overwrites; it doesn't see its
+    own first try.
     """
     def append(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored_before(batch.sparkSession, output, batch_id, batch)
-        fresh = new_posts(batch, stored, spread_by)
-        fresh.write.mode("overwrite").parquet(f"{output}/poll={batch_id}")
+        spark = batch.sparkSession
+        seen = SeenKeys(spark, f"{output}/_seen", buckets=buckets)
+        _seed(spark, output, seen, batch_id)
+        folder = f"{output}/poll={batch_id}"
+        new_posts(batch, seen.among(batch, before=batch_id), spread_by).write.mode("overwrite").parquet(folder)
+        fresh = spark.read.schema(batch.schema).parquet(folder)
+        seen.remember(fresh, batch_id)
+        seen.tidy(seen.met(fresh), before=batch_id)
 
     return (
         posts.writeStream.foreachBatch(append)
