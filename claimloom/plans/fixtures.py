@@ -132,7 +132,7 @@ VIEWS = {
     SELECT * FROM {raw_posts} WHERE pub_date < '2024-01-19'""",
     # Claims that point at pages, several at the same one; addresses without a page and none at all.
     "claim_links": """
-    SELECT d.doc_id AS input_order, split_part(d.text, chr(10), 1) AS claim_text,
+    SELECT d.doc_id AS input_order, d.text AS claim_text,
       CASE WHEN d.doc_id % 9 = 0 THEN NULL
         WHEN p.url IS NULL THEN concat('https://gone.example.com/', d.doc_id) ELSE p.url END AS article_url
     FROM (SELECT doc_id, text, doc_id % (SELECT greatest(count(*), 1) FROM {pages}) AS page_no FROM {documents}) d

@@ -286,6 +286,13 @@ PAGE_CONTENT = (
     f"CASE WHEN http_status = 200 THEN image END AS image_url FROM "
     f"(SELECT *, {article('html')} AS body, {image('html', 'url')} AS image FROM {{fetched_pages}})"
 )
+
+PAGES_OF_CLAIMS = f"""
+        SELECT c.input_order, c.claim_text, c.article_url, p.http_status, p.article_text, p.image_url
+        FROM {{claim_links}} c LEFT JOIN (
+          SELECT * FROM ({PAGE_CONTENT}) QUALIFY row_number() OVER (PARTITION BY url ORDER BY input_order) = 1
+        ) p ON p.url = c.article_url"""
+
 ALIVE = "http_status IS NOT NULL AND http_status NOT IN (404, 410)"
 
 SQL = {
@@ -332,11 +339,8 @@ SQL = {
     "prune_source_dead_rows": f"""
         SELECT id, news_url, title, tweet_ids FROM {{raw_links}} WHERE id NOT IN
           (SELECT 'link' || input_order FROM {{fetched_pages}} WHERE NOT ({ALIVE}) OR http_status IS NULL)""",
-    "attach_page_text": f"""
-        SELECT c.input_order, c.claim_text, c.article_url, p.http_status, p.article_text, p.image_url
-        FROM {{claim_links}} c LEFT JOIN (
-          SELECT * FROM ({PAGE_CONTENT}) QUALIFY row_number() OVER (PARTITION BY url ORDER BY input_order) = 1
-        ) p ON p.url = c.article_url""",
+    "attach_page_text": PAGES_OF_CLAIMS,
+    "attach_page_text_stored": PAGES_OF_CLAIMS,
     "image_file_name": r"""
         SELECT input_order, regexp_extract(guid, '([^/]*)$', 1) ||
           coalesce(nullif(regexp_extract(split_part(image_url, '?', 1), '[^/](\.[^./]+)$', 1), ''), '.jpg') AS file_name

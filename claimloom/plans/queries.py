@@ -34,7 +34,7 @@ from claimloom.plans.fixtures import AS_OF, PIVOT_YEAR, VIEWS, view
 from claimloom.plans.load import read_star
 from claimloom.schema import CLAIM_PAYLOAD, DROP_REASONS, PHASE_SNAPSHOT, RAW_ARTICLES, RAW_REVIEWS, RUN_RECORD, project
 from claimloom.session import prepare, scratch_dir
-from claimloom.sources import readers, sinks
+from claimloom.sources import page_store, readers, sinks
 from claimloom.streaming.curate import start_curation
 from claimloom.streaming.posts import start_post_append, start_post_dedup
 
@@ -272,6 +272,15 @@ def attach_page_text(spark, sf_dir):
     return pages.attach_page_text(view(spark, sf_dir, "claim_links"), view(spark, sf_dir, "fetched_pages"))
 
 
+@query
+def attach_page_text_stored(spark, sf_dir):
+    """The same with pages that were stored in two rounds, in buckets by address: no page is moved for the claims."""
+    found, path = view(spark, sf_dir, "fetched_pages"), scratch_dir(spark, "pages")
+    page_store.store_pages(found.filter("input_order % 5 < 4"), path)
+    page_store.add_pages(found.filter("input_order % 5 >= 4"), path)
+    return pages.attach_page_text(view(spark, sf_dir, "claim_links"), page_store.stored_pages(spark, path))
+
+
 @query
 def image_file_name_(spark, sf_dir):
     return view(spark, sf_dir, "raw_posts").select(ORDER, image_file_name("guid", "image_url").alias("file_name"))

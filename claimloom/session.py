@@ -62,12 +62,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/claimloom/{name}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder in shared storage, through the file system that Spark uses for it."""
+def _file_system(spark: SparkSession, path: str):
+    """A path of shared storage and the file system that Spark uses for it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    folder, files = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def folders(spark: SparkSession, path: str) -> dict[str, float]:
+    """The folders right below a path, by name, with the time (seconds) each was last changed; none if there is no such path."""
+    folder, files = _file_system(spark, path)
+    if not files.exists(folder):
+        return {}
+    return {f.getPath().getName(): f.getModificationTime() / 1000 for f in files.listStatus(folder) if f.isDirectory()}

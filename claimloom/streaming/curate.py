@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from claimloom.plans.curate import curate_claims
-from claimloom.plans.load import load_star
+from claimloom.plans.load import load_batch
 
 
 def start_curation(
@@ -20,12 +20,13 @@ def start_curation(
 ) -> StreamingQuery:
     """Each micro-batch is curated into a delta of the star at ``root`` and committed.
 
-    A batch that runs again upserts the same ids once more, so a restart leaves
-    no copies. Run ``compact`` beside the stream now and then.
+    A batch's commit carries the stream's checkpoint folder and the batch's
+    number. A batch that runs again finds that and writes nothing, so after a
+    restart every batch is in the store as one delta.
     """
     def curate_and_load(batch: DataFrame, batch_id: int) -> None:
         claims = curate_claims({source: batch}, ingested_at, pivot_year, keep_order=True, fan_in=fan_in)
-        load_star(batch.sparkSession, root, claims, loaded_at=ingested_at)
+        load_batch(batch.sparkSession, root, claims, checkpoint, batch_id, ingested_at)
 
     return (
         raw.writeStream.foreachBatch(curate_and_load)

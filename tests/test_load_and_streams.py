@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from claimloom.operators.incremental import append_new_posts, new_posts
 from claimloom.operators.upsert import load_summary, sink_values, upsert_publisher_dim, upsert_source_dim
 from claimloom.plans.curate import curate_claims, run_source
-from claimloom.plans.load import compact, last_commit, load_star, read_star
+from claimloom.plans import load as load_plan
+from claimloom.plans.load import compact, last_commit, load_star, read_star, stage_load, vacuum
+from claimloom.plans.log import _write, commit, read_log
 from claimloom.schema import CANONICAL, CLAIM_RECORD
+from claimloom.session import folders
 from claimloom.sources.readers import read_run_metrics
 from claimloom.streaming.curate import start_curation
 from claimloom.streaming.posts import start_post_append, start_post_dedup, stream_checkpoint
@@ -74,6 +77,88 @@ def test_loads_at_the_same_time_all_arrive(spark, tmp_path):
     assert tables["publisher"].count() == 1 and tables["source"].count() == 1
 
 
+def test_levels_are_merged_and_rows_rewritten_once_per_level(spark, tmp_path):
+    root, fan, loads = str(tmp_path / "star"), 3, 14
+    expected = {}
+    for n in range(loads):
+        rows = [claim(f"{n}-{k}", "True" if n % 2 else "False", f"a.b/{(n * 3 + k) % 25}", review_publisher_name=f"p{n % 4}") for k in range(4)]
+        load_star(spark, root, batch(spark, f"{tmp_path}/b{n}", rows), loaded_at=STAMP, fan=fan)
+        expected.update({(n * 3 + k) % 25: f"{n}-{k}" for k in range(4)})
+    assert sorted(r["claim_text"] for r in read_star(spark, root)["claim_record"].collect()) == sorted(expected.values())
+    live = read_log(spark, root).live
+    assert [r["level"] for r in live] == [2, 1, 0, 0], "fewer runs of a level than are merged"
+    written = spark.read.parquet(f"{root}/claim_record").count()
+    assert written <= loads * 4 * 3, "once by its load, once per level"
+    publishers = [tuple(r) for r in read_star(spark, root)["publisher"].collect()]
+    assert sorted(publishers) == [(f"p{k}", None) for k in range(4)]
+
+    # What is replaced stays for readers that have it, until it is removed.
+    held = read_star(spark, root)["claim_record"]
+    stored = sorted(map(repr, held.collect()))
+    assert vacuum(spark, root, older_than=3600) == []
+    compact(spark, root, STAMP)
+    assert sorted(map(repr, held.collect())) == stored == star_rows(spark, root)
+    staged = stage_load(spark, root, batch(spark, f"{tmp_path}/dead", [claim("dead", url="a.b/1")]))  # dies before its commit
+    removed = vacuum(spark, root, older_than=0)
+    assert f"claim_record/load={staged.load}" in removed and len(removed) > loads
+    assert star_rows(spark, root) == stored and set(folders(spark, f"{root}/claim_record")) == {f"load={read_log(spark, root).live[0]['load']}"}
+
+
+def test_the_log_is_read_from_few_files(spark, tmp_path):
+    root, every = str(tmp_path / "star"), 5
+    names = [f"run{n:03}" for n in range(32)]
+    for n, name in enumerate(names):
+        replaces = names[n - 3:n] if n % 8 == 7 else None
+        commit(spark, root, name, STAMP, level=1 if replaces else 0, replaces=replaces, stream=None if replaces else "s", batch=None if replaces else n, every=every)
+    state = read_log(spark, root)
+    gone = {name for n in range(7, 32, 8) for name in names[n - 3:n]}
+    assert [r["load"] for r in state.live] == [n for n in names if n not in gone]
+    assert state.last["version"] == 32 and state.batches == {"s": 30}
+    files = spark.read.option("recursiveFileLookup", True).text([f"{root}/_commits/epoch={e}" for e in (state.epoch - 1, state.epoch)]).inputFiles()
+    assert state.epoch >= 4 and len(files) <= 2 * (every + 2)
+    assert len(state.dead) <= len(names), "what no epoch names any more is forgotten"
+
+
+def test_a_commit_into_a_closed_epoch_is_seen(spark, tmp_path):
+    root = str(tmp_path / "star")
+    for n in range(4):
+        commit(spark, root, f"run{n}", STAMP, every=2)
+    epoch = read_log(spark, root).epoch
+    assert epoch == 1
+    # Written when the next epoch was open already: readers and the next checkpoint see it.
+    _write(spark, root, 0, "late", [("load", 2, 2, "late", STAMP, 0, [], None, None)])
+    assert "late" in {r["load"] for r in read_log(spark, root).live}
+    for n in range(4, 9):
+        commit(spark, root, f"run{n}", STAMP, every=2)
+    assert read_log(spark, root).epoch > epoch + 1 and {r["load"] for r in read_log(spark, root).live} == {"late", *(f"run{n}" for n in range(9))}
+
+
+def test_a_batch_that_died_before_its_commit_is_one_delta(spark, tmp_path, monkeypatch):
+    folder, root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "star"), str(tmp_path / "checkpoint")
+    reviews(spark, [claim("a", url="a.b/1"), claim("b", url="a.b/2")]).coalesce(1).write.parquet(folder)
+    raw = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    real = load_plan.commit_load
+
+    def dies(after):
+        def commit_load(*args, **kwargs):
+            if after:
+                real(*args, **kwargs)
+            raise RuntimeError("killed")
+
+        monkeypatch.setattr(load_plan, "commit_load", commit_load)
+        with pytest.raises(Exception, match="killed"):
+            start_curation(raw, "google_factcheck", root, checkpoint, STAMP).awaitTermination()
+        monkeypatch.setattr(load_plan, "commit_load", real)
+
+    dies(after=False)
+    assert read_log(spark, root).live == [] and len(folders(spark, f"{root}/claim_record")) == 1
+    dies(after=True)  # committed, but the stream doesn't know
+    assert len(read_log(spark, root).live) == 1
+    start_curation(raw, "google_factcheck", root, checkpoint, STAMP).awaitTermination()
+    assert len(read_log(spark, root).live) == 1 and len(folders(spark, f"{root}/claim_record")) == 2
+    assert sorted(r["claim_text"] for r in read_star(spark, root)["claim_record"].collect()) == ["a", "b"]
+
+
 def test_whole_chain_is_one_recorded_run(spark, tmp_path):
     rows = [claim("a", url="a.b/1", review_publisher_name="P"), claim("a", url="a.b/1"), claim("b", "Half True"), claim("c", "True")]
     root, out, history = f"{tmp_path}/star", f"{tmp_path}/out", f"{tmp_path}/runs"

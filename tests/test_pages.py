@@ -1,5 +1,7 @@
 """Page text and preview image on hand-written pages; joins with hot addresses."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from claimloom.functions.html import article_text, preview_image, unescape
 from claimloom.functions.html_tree import article_text_nested
 from claimloom.operators.joins import skew_join
 from claimloom.operators.pages import attach_page_text, dead_links, drop_dead_links, page_content, prune_source_dead_rows
+from claimloom.sources.page_store import _name, add_pages, store_pages, stored_pages
 
 LONG = "word " * 60
 
@@ -183,3 +186,27 @@ def test_only_linked_pages_are_parsed(spark):
     claims = spark.createDataFrame([(0, "u200")], "input_order long, article_url string")
     plan = attach_page_text(claims, pages(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def moved_columns(frame):
+    """The columns of every exchange of a plan."""
+    plan = frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return re.findall(r"\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+
+
+def test_stored_pages_stay_where_they_are(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    every = pages(spark)
+    store_pages(every.filter("url LIKE '%1'"), path)
+    add_pages(every.filter("NOT url LIKE '%1' OR url IS NULL"), path)
+    assert sorted(map(repr, stored_pages(spark, path).collect())) == sorted(map(repr, every.collect()))
+    spark.sql(f"DROP TABLE {_name(path)}")  # as for another session, which has to register them
+    claims = spark.createDataFrame([(k, u) for k, u in enumerate([r["url"] for r in every.collect()] * 2 + [None, "gone"])], "input_order long, article_url string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = attach_page_text(claims, stored_pages(spark, path))
+        assert any("html" in c for c in moved_columns(attach_page_text(claims, every)))
+        assert moved_columns(stored) and not any("html" in c for c in moved_columns(stored))
+        assert sorted(map(repr, stored.collect())) == sorted(map(repr, attach_page_text(claims, every).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
