@@ -28,11 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import bounded_batches, small_or_shuffled, text_or_empty, written, written_counting
+from claimloom.llm.common import bounded_batches, discard, small_or_shuffled, text_or_empty, written, written_counting
 from claimloom.session import scratch_dir
 
 #: Words of a half passage; passages are two of them and overlap by one.
 HALF = 32
+#: Half passages whose products are in memory at a time: at most 32 terms of 1 KB each in every one.
+HALVES_AT_ONCE = 1_024
 #: Terms in over this share of passages have no weight, but for the rarest ``KEPT`` terms of each item.
 COMMON_SHARE, KEPT = 0.005, 8
 #: Singular vectors kept, and further columns of the sketch.
@@ -136,16 +138,35 @@ class Retriever:
         term, part = term[weighty], part[weighty]
         if not len(term):
             return out
-        scores = _summed(self.parts[term], part, n)
-        energy = np.bincount(part, self.idf[term] ** 2, n)
-        scores[:-1] += scores[1:]
-        energy[:-1] += energy[1:]
-        scores /= np.sqrt(np.maximum(energy, 1e-12))[:, None]
-        at, passage = np.nonzero(scores >= COSINE)
-        text = np.searchsorted(first, at, side="right") - 1
         best: dict[tuple[int, int], tuple] = {}
-        for t, h, p in zip(text.tolist(), at.tolist(), passage.tolist(), strict=True):
-            key = (t, int(self.owner[p]))
+        for low_half, scores in self._scores(term, part, n):
+            self._judge(scores, low_half, first, begins, ids, best)
+        for (t, _), leak in sorted(best.items()):
+            out[t].append(leak)
+        return out
+
+    def _scores(self, term: np.ndarray, part: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Cosines of passages, two halves each, with every item passage, so many at a time: the first one's number and their rows."""
+        for low in range(0, n, HALVES_AT_ONCE):
+            high = min(n, low + HALVES_AT_ONCE)
+            # One half more, which the last passage ends with.
+            here = slice(*np.searchsorted(part, [low, high + 1]))
+            terms, halves, size = term[here], part[here] - low, min(n, high + 1) - low
+            if not len(terms):
+                continue
+            scores = _summed(self.parts[terms], halves, size)
+            energy = np.bincount(halves, self.idf[terms] ** 2, size)
+            scores[:-1] += scores[1:]
+            energy[:-1] += energy[1:]
+            scores /= np.sqrt(np.maximum(energy, 1e-12))[:, None]
+            yield low, scores[:high - low]
+
+    def _judge(self, scores: np.ndarray, low_half: int, first: np.ndarray, begins: np.ndarray, ids: np.ndarray, best: dict) -> None:
+        """Put the best place of each text and item among these candidates into ``best``."""
+        at, passage = np.nonzero(scores >= COSINE)
+        text = np.searchsorted(first, at + low_half, side="right") - 1
+        for t, row, p in zip(text.tolist(), at.tolist(), passage.tolist(), strict=True):
+            key, h = (t, int(self.owner[p])), row + low_half
             if key in best and best[key][2] == 1.0:
                 continue
             item = self.items[key[1]]
@@ -153,10 +174,7 @@ class Retriever:
             high = min(int(begins[t + 1] - begins[t]), (h - int(first[t]) + 2) * HALF + len(item.words))
             found = judged(item, ids[begins[t] + low: begins[t] + high].tolist())
             if found and (key not in best or found[0] > best[key][2]):
-                best[key] = (key[1], float(scores[h, p]), found[0], found[1], low + found[2])
-        for (t, _), leak in sorted(best.items()):
-            out[t].append(leak)
-        return out
+                best[key] = (key[1], float(scores[row, p]), found[0], found[1], low + found[2])
 
 
 def lcs_length(a: tuple[int, ...] | list[int], b: tuple[int, ...] | list[int]) -> int:
@@ -319,10 +337,15 @@ def _sketch(ids: DataFrame, size: int, idf: np.ndarray, random: np.ndarray) -> n
             term, part = term[weighty], part[weighty]
             if not len(term):
                 continue
-            product = _summed(weighted[term], part, n)
-            order = np.argsort(term, kind="stable")
-            heads = np.flatnonzero(np.diff(term[order], prepend=-1))
-            total[term[order][heads]] += np.add.reduceat(product[part[order]], heads, axis=0)
+            for low in range(0, n, HALVES_AT_ONCE):
+                here = slice(*np.searchsorted(part, [low, low + HALVES_AT_ONCE]))
+                terms, parts = term[here], part[here] - low
+                if not len(terms):
+                    continue
+                product = _summed(weighted[terms], parts, min(n - low, HALVES_AT_ONCE))
+                order = np.argsort(terms, kind="stable")
+                heads = np.flatnonzero(np.diff(terms[order], prepend=-1))
+                total[terms[order][heads]] += np.add.reduceat(product[parts[order]], heads, axis=0)
         met = np.flatnonzero(np.any(total != 0, axis=1))
         out = pd.DataFrame(total[met].astype(np.float32), columns=columns)
         out.insert(0, "term", met)
@@ -387,6 +410,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, seed: int = 11) -> Iterator[Retri
         basis = singular_vectors(gram, random, RANK)
         folded = (rows @ basis) @ basis.T
         length = np.sqrt((rows ** 2).sum(axis=1))
+        discard(ids)
         parts = (idf[:, None] * (folded / np.maximum(length, 1e-12)[:, None]).T).astype(np.float32)
         yield Retriever(vocabulary, items, owner, idf, parts)
 
@@ -439,13 +463,14 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, all their columns as they are; null and empty texts stay."""
-    digest = F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+    digest = F.unhex(F.sha2(text_or_empty().cast("binary"), 256)).alias("digest")
 
     def leaking(retriever: Retriever | Phrases) -> DataFrame:
-        return docs.where(F.size(_leaks(F.col("text"), retriever)) > 0).select(digest.alias("_leak")).distinct()
+        return docs.where(F.size(_leaks(F.col("text"), retriever)) > 0).select(digest).distinct()
 
     found = _each_block(docs, benchmark, leaking, "leaking")
     if found is None:
         return docs
     found, seen = written_counting(found.distinct(), "leaking-texts", n=F.count(F.lit(1)))
-    return docs.join(small_or_shuffled(found, seen["n"]), digest == F.col("_leak"), "left_anti")
+    told = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), digest)
+    return told.join(small_or_shuffled(found, seen["n"]), "digest", "left_anti").select("row.*")
