@@ -287,6 +287,11 @@ PAGE_CONTENT = (
     f"(SELECT *, {article('html')} AS body, {image('html', 'url')} AS image FROM {{fetched_pages}})"
 )
 
+KPI_SUMMARY = f"""
+        SELECT source, count(*) AS runs, {rounded(mean('pct_valid'), 2)} AS mean_pct_valid,
+          {rounded(mean('duration_seconds'), 2)} AS mean_duration_seconds,
+          {rounded(mean('peak_memory_mb'), 2)} AS mean_peak_memory_mb FROM {{runs}} GROUP BY source"""
+
 PAGES_OF_CLAIMS = f"""
         SELECT c.input_order, c.claim_text, c.article_url, p.http_status, p.article_text, p.image_url
         FROM {{claim_links}} c LEFT JOIN (
@@ -522,10 +527,18 @@ SQL = {
     "precision_trend": """
         SELECT source, run_timestamp, pct_valid FROM {runs}
         QUALIFY count(*) OVER (PARTITION BY source) > 1 ORDER BY source, run_timestamp""",
-    "kpi_summary": f"""
-        SELECT source, count(*) AS runs, {rounded(mean('pct_valid'), 2)} AS mean_pct_valid,
-          {rounded(mean('duration_seconds'), 2)} AS mean_duration_seconds,
-          {rounded(mean('peak_memory_mb'), 2)} AS mean_peak_memory_mb FROM {{runs}} GROUP BY source""",
+    "kpi_summary": KPI_SUMMARY,
+    "kpi_summary_incremental": KPI_SUMMARY,
+    "duration_alert": """
+        WITH timed AS (SELECT source, run_timestamp, duration_seconds, CAST(left(run_timestamp, 10) AS DATE) AS day FROM {runs}),
+        limits AS (
+          SELECT d.source, d.day, quantile_disc(o.duration_seconds, 0.75) AS usual
+          FROM (SELECT DISTINCT source, day FROM timed) d JOIN timed o ON o.source = d.source AND o.day < d.day
+          WHERE o.duration_seconds IS NOT NULL GROUP BY d.source, d.day)
+        SELECT t.source, t.run_timestamp, t.duration_seconds, l.usual,
+          CASE WHEN l.usual IS NULL OR t.duration_seconds IS NULL THEN 'no_data'
+            WHEN t.duration_seconds > l.usual THEN 'slow' ELSE 'good' END AS alert
+        FROM timed t LEFT JOIN limits l ON l.source = t.source AND l.day = t.day""",
     "run_history": f"""
         SELECT {RUN_COLUMNS} FROM {{runs}} WHERE source IN ('click', 'view', 'error') ORDER BY run_timestamp DESC, source""",
     "runs_overview": "SELECT count(*) AS runs, count(DISTINCT source) AS sources FROM {runs}",

@@ -22,7 +22,7 @@ from claimloom.functions.text import clean_text, min_length, na_tokens_to_null,
 from claimloom.functions.urls import (
     image_file_name, last_url_in_text, normalize_url, prefix_url_scheme, validate_image_url,
 )
-from claimloom.operators import explore, incremental, metrics, pages, quality, sampling, upsert
+from claimloom.operators import explore, incremental, metrics, pages, partials, quality, sampling, upsert
 from claimloom.operators.adapters import DATASET, ORDER, adapt, offending_labels
 from claimloom.operators.cleaning import (
     clean_claims, clean_keys, dedup_keep_first, drop_counts, drop_missing_text, drop_unlabeled,
@@ -640,6 +640,26 @@ def kpi_summary(spark, sf_dir):
     return metrics.kpi_summary(runs(spark, sf_dir))
 
 
+def stored_run_partials(spark, sf_dir) -> DataFrame:
+    """The history's partials, stored in two rounds that share days."""
+    path, history = scratch_dir(spark, "partials"), runs(spark, sf_dir)
+    late = (F.col("run_timestamp") >= "2024-01-20") | F.col("source").isin("click", "view")
+    partials.append_partials(history.filter(~late), path)
+    partials.append_partials(history.filter(late), path)
+    return partials.stored_partials(spark, path)
+
+
+@query
+def kpi_summary_incremental(spark, sf_dir):
+    """The same from partials, without the history."""
+    return partials.kpi_summary(stored_run_partials(spark, sf_dir))
+
+
+@query
+def duration_alert(spark, sf_dir):
+    return partials.duration_alert(runs(spark, sf_dir), stored_run_partials(spark, sf_dir), 0.75)
+
+
 @query
 def run_history(spark, sf_dir):
     return metrics.run_history(runs(spark, sf_dir), ["click", "view", "error"]).drop("step_durations")

@@ -102,6 +102,15 @@ RUN_RECORD = T.StructType([
     *[T.StructField(n, _L) for n in DROP_REASONS],
     T.StructField("peak_memory_mb", _D),
 ])
+# Sums over the runs of a source and day.
+RUN_PARTIAL = T.StructType([
+    T.StructField("source", _S),
+    T.StructField("day", T.DateType()),
+    T.StructField("runs", _L),
+    *[T.StructField(f"{n}_sum", T.DecimalType(38, 4)) for n in ("pct_valid", "duration_seconds", "peak_memory_mb")],
+    *[T.StructField(f"{n}_n", _L) for n in ("pct_valid", "duration_seconds", "peak_memory_mb")],
+    T.StructField("durations", T.BinaryType()),
+])
 PHASE_SNAPSHOT = T.StructType([
     T.StructField("source", _S),
     T.StructField("run_timestamp", _S),
