@@ -12,8 +12,8 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A lookup side of so many narrow rows (tens of MB) is broadcast; a larger one is joined by a shuffle.
 LOOKUP_ROWS = 200_000
-#: A node with over so many times the edges of a mean task is dealt out over all tasks.
-HOT_SHARE = 2
+#: A node with over so many edges, and so many times those of a mean task, is dealt out over all tasks.
+HOT_ROWS, HOT_SHARE = 100_000, 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +72,9 @@ def small_or_shuffled(small: DataFrame, rows: int) -> DataFrame:
 def with_lowest(rows: DataFrame, low: Column, edges: int, slots: int) -> DataFrame:
     """``rows(a, b)`` with ``low`` of all rows of the same ``a``; nodes with many of the ``edges`` rows are dealt out over ``slots`` salts."""
     per_node = rows.groupBy("a").agg(low.alias("low"), F.count(F.lit(1)).alias("n"))
-    hot = F.col("n") * slots > HOT_SHARE * edges
+    if edges <= HOT_ROWS:  # none can be hot
+        return rows.join(per_node.select("a", "low"), "a").select("a", "b", "low")
+    hot = (F.col("n") > HOT_ROWS) & (F.col("n") * slots > HOT_SHARE * edges)
     salts = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
     busy = per_node.where(hot).select("a", F.lit(True).alias("hot"))
     dealt = (rows.join(F.broadcast(busy), "a", "left")
