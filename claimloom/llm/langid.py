@@ -39,38 +39,45 @@ UNKNOWN = "und"
 
 
 def _letters(text: str) -> np.ndarray:
-    """Code points of the letters of ``text``; 0, the boundary mark, for any run of others and at both ends."""
+    """Code points of the letters of ``text``, 0 for any other character."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     known, where = np.unique(points, return_inverse=True)
     letter = np.array([chr(p).isalpha() for p in known.tolist()], dtype=bool)
-    points = np.concatenate(([0], np.where(letter[where], points, 0), [0]))
-    return points[(points != 0) | np.append(True, points[:-1] != 0)]
+    return np.where(letter[where], points, 0)
 
 
 def ngram_counts(text: str | None, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of a whole text's n-grams, in order of key; none if it has no letter.
 
-    A text of several pieces is cut at them as if a word ended there.
+    0 is the boundary mark: any run of other characters is one, and both ends
+    are. Long texts are worked on in pieces; the last two points go on to the
+    next piece, so what comes out doesn't depend on where they are cut.
     """
-    text = text or ""
-    parts = []
-    for start in range(0, len(text), piece):
-        points = _letters(text[start:start + piece].lower())
-        if len(points) < 3:
-            continue
+    text = (text or "").lower()
+    parts, carried = [], np.zeros(1, np.int64)
+    for start in range(0, max(1, len(text)), piece):
+        new = _letters(text[start:start + piece])
+        points = np.concatenate((carried, new, [0] if start + piece >= len(text) else []))
+        points = points[(points != 0) | np.append(True, points[:-1] != 0)].astype(np.int64)
+        known = len(carried)
         marked = np.where(points == 0, MARK, points)
         found = []
         for n in ORDERS:
-            m = len(points) - n + 1
-            key = np.zeros(m, dtype=np.int64)
+            # Those that end behind what the last piece has seen.
+            first, m = max(0, known - n + 1), len(points) - n + 1
+            if m <= first:
+                continue
+            key = np.zeros(m - first, dtype=np.int64)
             for k in range(n):
-                key = (key << 21) | marked[k:k + m]
+                key = (key << 21) | marked[first + k:m + k]
             # Marks stand at the ends of an n-gram only, and not alone.
-            inside = points[:m] != 0 if n == 1 else np.ones(m, dtype=bool)
+            inside = points[first:m] != 0 if n == 1 else np.ones(m - first, dtype=bool)
             for k in range(1, n - 1):
-                inside &= points[k:k + m] != 0
+                inside &= points[first + k:m + k] != 0
             found.append(key[inside])
-        parts.append(np.unique(np.concatenate(found), return_counts=True))
+        if found:
+            parts.append(np.unique(np.concatenate(found), return_counts=True))
+        carried = points[-2:]
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(parts) == 1:
