@@ -11,9 +11,11 @@ distance one the one whose bit is set looks the other up, so a ball costs about
 
 A bucket of the tables with over ``CROWD`` entries isn't paired off: all its
 visitors are verified against its ``PIVOTS`` smallest entries first, and then
-only pairs that are still in different components. Pairs within a component
-could add no more to it, so components are exact, and the work stays in
-proportion to the bucket's size and what is outside its largest component.
+only pairs that are still in different components and agree in one of
+``find_bits + 1`` parts of the lane's other segment, which pairs within
+``find_bits`` do. Pairs within a component could add no more to it, so
+components are exact, and members that have only the bucket in common aren't
+paired at all.
 """
 
 from __future__ import annotations
@@ -134,11 +136,29 @@ def links(nodes: DataFrame, lanes: int, find_bits: int, verify: Callable[[DataFr
     parts = components(first, "crowd").withColumnRenamed("node", "id")
     tagged = written(visitors.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).select("key", "id", "entry", "part"), "tagged")
     largest = tagged.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("largest"))
-    outside = tagged.join(largest, "key").where("part <> largest")
-    a, b = outside.alias("a"), tagged.alias("b")
-    met = a.join(b, F.col("a.key") == F.col("b.key")).where("a.part <> b.part and (a.entry or b.entry)")
-    again = met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
-    return first.unionByName(written(verify(again.distinct()), "links"))
+    outside = tagged.join(largest, "key").where("part <> largest").select(*tagged.columns)
+    return first.unionByName(written(verify(_across(outside, tagged, nodes, find_bits).distinct()), "links"))
+
+
+def _across(some: DataFrame, every: DataFrame, nodes: DataFrame, find_bits: int) -> DataFrame:
+    """Pairs of ids ``(a, b)`` of different parts that share a bucket and agree in a part of the lane's other segment.
+
+    Both frames have ``key, id, entry, part``; one of a pair has to be an entry.
+    """
+    segment = F.shiftright("key", 32)
+    lane = F.get("lanes", F.floor(segment / 2).cast("int"))
+    other = F.when(segment % 2 == 0, F.shiftrightunsigned(lane, 32)).otherwise(lane).bitwiseAND(F.lit(0xFFFFFFFF))
+    cuts = [32 * k // (find_bits + 1) for k in range(find_bits + 2)]
+    pieces = F.array(*[F.shiftright("other", low).bitwiseAND(F.lit((1 << high - low) - 1)) for low, high in zip(cuts, cuts[1:], strict=False)])
+
+    def refined(rows: DataFrame) -> DataFrame:
+        told = rows.join(nodes, "id").withColumn("other", other)
+        return told.select("key", "id", "entry", "part", F.posexplode(pieces).alias("piece", "value"))
+
+    a, b = refined(some).alias("a"), refined(every).alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "piece", "value")]
+    met = a.join(b, same).where("a.part <> b.part and (a.entry or b.entry)")
+    return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
 
 
 def _parts(prints: DataFrame, bits: int) -> DataFrame:
