@@ -43,8 +43,8 @@ LOOKALIKES = str.maketrans("@4301!$57|€£", "aaeoiisstiel")
 
 #: Words between a hit and a second-person word that count as near.
 NEAR = 5
-#: Word starts that can be entries, in letters; least log-odds of an entry; most entries and candidates.
-STEMS, LEAST_ODDS, MOST_ENTRIES, MOST_CANDIDATES = (4, 5, 6, 7, 8), 1.7, 400, 20_000
+#: Letters of words that can be entries, and of their starts; least log-odds of an entry.
+WORD_LETTERS, STEMS, LEAST_ODDS = (3, 30), (4, 5, 6, 7, 8), 1.7
 #: Toxic documents that an entry has to add, at least, and as a share of all toxic ones.
 LEAST_DOCS, LEAST_SHARE = 2, 0.008
 #: Log-odds from which an entry is a strong one; strong and weak ones are counted apart.
@@ -142,7 +142,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
 
 def _entries(text: str) -> set[str]:
     """The words of a text, and their starts marked by a star."""
-    words = {w for w in (_EDGE.sub("", t.lower()) for t in set(text.split())) if 3 <= len(w) <= 30 and w.isalpha()}
+    words = {w for w in (_EDGE.sub("", t.lower()) for t in set(text.split())) if WORD_LETTERS[0] <= len(w) <= WORD_LETTERS[1] and w.isalpha()}
     return words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
 
 
@@ -157,7 +157,7 @@ def _counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """The lexicon of ``sample(text, label)``, a bounded sample."""
+    """The lexicon of ``sample(doc_id, text, label)``, a bounded sample: words of 3 to 30 letters and their starts, by the share of toxic documents they add."""
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
     toxic, clean = size["toxic"] or 0, size["n"] - (size["toxic"] or 0)
     if not toxic or not clean:
@@ -166,25 +166,27 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
               .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     least = max(LEAST_DOCS, math.ceil(LEAST_SHARE * toxic))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    best = (counts.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS))
-            .orderBy(F.desc(F.col("odds") * F.col("toxic")), "entry").limit(MOST_CANDIDATES).collect())
-    candidates = {r["entry"]: r["odds"] for r in best}
+    # As many as a bounded sample has words.
+    candidates = {r["entry"]: r["odds"] for r in counts.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS)).collect()}
 
     def marks(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame([(i, e) for i, t in zip(frame["doc_id"], frame["text"], strict=True) for e in _entries(t) & candidates.keys()], columns=["doc_id", "entry"])
+            yield pd.DataFrame([(str(i), e) for i, t in zip(frame["doc_id"], frame["text"], strict=True) for e in _entries(t) & candidates.keys()], columns=["doc_id", "entry"])
 
-    covers: dict[str, set[int]] = {}
-    for row in sample.where("label = 1").mapInPandas(marks, "doc_id long, entry string").toLocalIterator():
+    covers: dict[str, set[str]] = {}
+    for row in sample.where("label = 1").mapInPandas(marks, "doc_id string, entry string").toLocalIterator():
         covers.setdefault(row["entry"], set()).add(row["doc_id"])
     return _chosen(covers, candidates, least)
 
 
-def _chosen(covers: dict[str, set[int]], odds: dict[str, float], least: int) -> Lexicon:
-    """Greedy cover: the entry of most weight among the documents that are left, again and again."""
+def _chosen(covers: dict[str, set[str]], odds: dict[str, float], least: int) -> Lexicon:
+    """Greedy cover: the entry of most weight among the documents that are left, again and again.
+
+    Every entry adds ``least`` documents, so there are at most ``1 / LEAST_SHARE`` of them.
+    """
     strong, weak = set(), set()
     left = set().union(*covers.values()) if covers else set()
-    while len(strong) + len(weak) < MOST_ENTRIES:
+    while True:
         entry, docs = max(covers.items(), key=lambda x: (len(x[1]) * odds[x[0]], x[0]), default=("", set()))
         if len(docs) < least:
             break

@@ -2,16 +2,19 @@
 
 import gc
 import random
+import re
+import tracemalloc
 import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from claimloom.llm import bitpack, content_sort, labelled, langid, latent, licenses, maglev, mixing, quality, simhash, toxicity
+from claimloom.llm import bitpack, common, content_sort, labelled, langid, latent, licenses, maglev, mixing, quality, simhash, toxicity
 from claimloom.llm.common import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -256,6 +259,21 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, crowd, pivots)
     assert {p: label.get(p, p) for p in signed} == {p: top(p) for p in signed}
 
 
+def test_a_crowded_bucket_without_links_is_not_paired_off(spark):
+    rng = random.Random(6)
+    prints = {0x12345678 | rng.getrandbits(32) << 32 for _ in range(3000)}
+    linked = [p for p in prints][:40]
+    prints |= {p ^ (1 << rng.randrange(32, 64)) ^ (1 << rng.randrange(32, 64)) for p in linked}
+    signed = [p - 2**64 if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(p, [p]) for p in signed], "id long, lanes array<long>")
+    bucket = nodes.selectExpr(f"{0x12345678}L as key", "id", "true as entry", "id as part")
+    met = simhash._across(bucket, bucket, nodes, 2).distinct()
+    assert met.count() < 10 * len(prints)
+    found = {(r["a"], r["b"]) for r in met.collect()}
+    close = {(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 2}
+    assert len(close) >= 35 and close <= found
+
+
 def test_near_groups_of_odd_rows(spark):
     got = simhash.near_groups(docs(spark, ODD, clash=True)).collect()
     assert len(got) == len(ODD)
@@ -294,8 +312,9 @@ def test_near_duplicates_by_fingerprint(spark):
     assert simhash.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
-def test_a_hot_node_is_dealt_out(spark, tmp_path):
+def test_a_hot_node_is_dealt_out(spark, monkeypatch):
     """A star with two thirds of all edges: no task gets more than a few times its share."""
+    monkeypatch.setattr(common, "HOT_ROWS", 1_000)
     star = spark.range(1, 30_001).selectExpr("id as a", "0L as b")
     chain = spark.range(100_000, 100_300).selectExpr("id as a", "id + 1 as b")
     edges = star.unionByName(chain)
@@ -378,6 +397,25 @@ def test_benchmarks_of_several_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(5)}
 
 
+def test_long_texts_are_scored_in_bounded_memory(spark, monkeypatch):
+    items = [prose(200 + i, 40) for i in range(30)]
+    retriever = next(latent.fit(docs(spark, [(i, prose(i, 200)) for i in range(5)]), spark.createDataFrame(list(enumerate(items)), BENCH)))
+    known = [w for w in retriever.vocabulary.words if w]
+    texts = [prose(9, 3000, known) + " " + items[7] + " " + prose(10, 3000, known), prose(3, 50), items[2]]
+    whole = retriever.leaks(pa.array(texts, pa.large_string()))
+    assert [[leak[0] for leak in row if leak[2] == 1.0] for row in whole] == [[7], [], [2]]
+    monkeypatch.setattr(latent, "HALVES_AT_ONCE", 3)
+    assert [[(*leak[:1], round(leak[1], 5), *leak[2:]) for leak in row] for row in retriever.leaks(pa.array(texts, pa.large_string()))] == [
+        [(*leak[:1], round(leak[1], 5), *leak[2:]) for leak in row] for row in whole]
+    monkeypatch.undo()
+    long = " ".join(np.random.default_rng(1).choice([*known, *(f"q{k}" for k in range(2000))], 400_000))
+    tracemalloc.start()
+    retriever.leaks(pa.array([long], pa.large_string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6  # the products alone would be over 250 MB
+
+
 def test_one_block_is_alive_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(latent, "BLOCK_PASSAGES", 1)
     real, made, most = latent.fit, [], []
@@ -446,6 +484,20 @@ def test_ngrams_and_ranks_by_hand():
     assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
 
 
+@given(st.lists(st.sampled_from(["a", "B", "Σ", "é", "世", "🙂", " ", "\n", "1", "İ", "word", ". "]), max_size=40).map("".join), st.integers(1, 12))
+@settings(max_examples=200, deadline=None)
+def test_pieces_count_like_whole_texts(text, piece):
+    whole, pieces = langid.ngram_counts(text), langid.ngram_counts(text, piece=piece)
+    assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
+    # By brute force: words of letters between marks.
+    words = re.sub(r"[^\W\d_]+", lambda m: m[0], "".join(c if c.isalpha() else " " for c in text.lower())).split()
+    marked = "\0" + "\0".join(words) + "\0" if words else ""
+    grams = [marked[i:i + n] for n in (1, 2, 3) for i in range(len(marked) - n + 1)]
+    grams = [g for g in grams if g != "\0" and "\0" not in g[1:-1]]
+    assert sorted(np.repeat(whole[1], 1).tolist()) == sorted(map(grams.count, set(grams)))
+
+
+
 # --- licenses ----------------------------------------------------------------------------------------------------------
 
 def test_licenses(spark):
