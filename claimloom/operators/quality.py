@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions.ids import id_rest
 from claimloom.operators.joins import skew_join
 from claimloom.schema import CANONICAL, CLAIM_RECORD, LABELS, REQUIRED
 
@@ -107,6 +108,22 @@ def require_no_violations(claims: DataFrame, sources: DataFrame, publishers: Dat
         raise ValueError(f"load refused: record {bad['record_id']} breaks {list(bad['violations'])}")
 
 
+def id_clashes(claims: DataFrame) -> DataFrame:
+    """Ids that stand for two different claims: ``record_id``, how many, and two of them by address or text.
+
+    An id has 64 bits of its claim's digest, which some ten billion claims are
+    enough to make meet; the digest's other 96 bits tell them apart. Sums are
+    narrow and combined before they are shuffled, whatever an id's rows are.
+    """
+    rest = id_rest("source", "article_url", "claim_text", "article_text")
+    named = F.concat("source", F.lit(":"), F.coalesce(F.nullif("article_url", F.lit("")), "claim_text"))
+    told = claims.where(F.col("record_id").isNotNull()).select("record_id", rest.alias("rest"), named.alias("named"))
+    bases = told.groupBy("record_id", "rest").agg(F.min("named").alias("named"))
+    return (bases.groupBy("record_id")
+            .agg(F.count(F.lit(1)).alias("claims"), F.min_by("named", "rest").alias("one"), F.max_by("named", "rest").alias("other"))
+            .where("claims > 1"))
+
+
 def label_distribution(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count("*").alias("n"))
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from claimloom.operators.adapters import input_position
 from claimloom.operators.dedup import keep_first, keep_last
 from claimloom.operators.enrich import run_stamp
-from claimloom.operators.quality import broken_rules, require_load_columns
+from claimloom.operators.quality import broken_rules, id_clashes, require_load_columns
 from claimloom.operators.upsert import new_publishers, new_sources, sink_values
 from claimloom.plans import log
 from claimloom.schema import CLAIM_RECORD, PUBLISHER_DIM, SOURCE_DIM
@@ -152,7 +152,8 @@ def commit_load(staged: StagedLoad, stream: str | None = None, batch: int | None
     """Check a staged load, add its new dimension rows and commit it; returns the batch's summary.
 
     With the name of a stream and the number of a batch the commit says that
-    this batch is in. Levels that are full then are merged (``fan`` 0: never).
+    this batch is in. Levels that are full then are merged (``fan`` 0: never);
+    a merge that finds two claims under one id raises, after the commit.
 
     A broken rule (null in a required column, label outside the domain)
     refuses the whole load. Its dimension rows come from the batch itself, so
@@ -189,9 +190,17 @@ def load_batch(spark: SparkSession, root: str, batch: DataFrame, stream: str, nu
     return commit_load(stage_load(spark, root, batch, loaded_at), stream, number, fan)
 
 
+def _refuse_clashes(clashes: DataFrame) -> None:
+    """Raise when two claims share an id, naming both, before the newer one takes the other's place for good."""
+    found = clashes.first()
+    if found is not None:
+        raise ValueError(f"merge refused: record {found['record_id']} is both {found['one']!r} and {found['other']!r}")
+
+
 def _merge(spark: SparkSession, root: str, runs: Sequence[Row], level: int, at: str) -> None:
     """Write the rows of some runs that count among them as one run, and let it take their place."""
     load = uuid.uuid4().hex
+    _refuse_clashes(id_clashes(_stored(spark, root, "claim_record", runs)))
     for name, rows in _read_runs(spark, root, runs).items():
         brought = rows.withColumnsRenamed({"version": "row_version", "load": "row_load"})
         brought.hint("rebalance").write.parquet(_path(root, name, load))

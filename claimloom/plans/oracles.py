@@ -406,6 +406,15 @@ SQL = {
     "record_id": f"""
         SELECT input_order, {record_id("source", url("article_url"), clean("claim_text"), clean("article_text"))} AS record_id
         FROM ({adapted_reviews()})""",
+    "id_clashes": f"""
+        WITH told AS (
+          SELECT substr(record_id, 1, 2) AS record_id,
+            substr(sha1(source || ':' || coalesce(nullif(article_url, ''), coalesce(claim_text, '') || chr(31) || coalesce(article_text, ''))), 17, 24) AS rest,
+            source || ':' || coalesce(nullif(article_url, ''), claim_text) AS named
+          FROM ({curated_reviews()})),
+        bases AS (SELECT record_id, rest, min(named) AS named FROM told GROUP BY record_id, rest)
+        SELECT record_id, count(*) AS claims, arg_min(named, rest) AS one, arg_max(named, rest) AS other
+        FROM bases GROUP BY record_id HAVING count(*) > 1""",
     "text_length": "SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS article_text_length FROM {documents}",
     "stamp_ingested_at": f"SELECT doc_id, '{AS_OF}' AS ingested_at FROM {{documents}}",
     "enrich_claims": f"SELECT input_order, record_id, article_text_length, ingested_at FROM ({curated_reviews()})",

@@ -414,6 +414,13 @@ def record_id_(spark, sf_dir):
     return rows.select(ORDER, ids.alias("record_id"))
 
 
+@query
+def id_clashes(spark, sf_dir):
+    """Ids cut to two digits, so that some meet."""
+    claims = enriched_reviews(spark, sf_dir).withColumn("record_id", F.substring("record_id", 1, 2))
+    return quality.id_clashes(claims)
+
+
 @query
 def text_length_(spark, sf_dir):
     return view(spark, sf_dir, "documents").select("doc_id", text_length("text").alias("article_text_length"))

@@ -47,9 +47,9 @@ class SeenKeys:
     def _read(self, buckets: Iterable[int]) -> DataFrame:
         """The rows of some buckets; only their folders are listed."""
         wanted = ",".join(map(str, sorted(buckets)))
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema)
         try:
-            if not wanted:
-                raise AnalysisException("PATH_NOT_FOUND")
             return self.spark.read.schema(self.schema).option("basePath", self.root).parquet(f"{self.root}/bucket={{{wanted}}}")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):

@@ -104,6 +104,21 @@ def test_levels_are_merged_and_rows_rewritten_once_per_level(spark, tmp_path):
     assert star_rows(spark, root) == stored and set(folders(spark, f"{root}/claim_record")) == {f"load={read_log(spark, root).live[0]['load']}"}
 
 
+def test_two_claims_under_one_id_are_refused_at_the_merge(spark, tmp_path):
+    root = str(tmp_path / "star")
+    same = F.lit("0" * 16)
+    one = batch(spark, f"{tmp_path}/b1", [claim("a", url="a.b/1")]).withColumn("record_id", same)
+    again = batch(spark, f"{tmp_path}/b2", [claim("a, told anew", url="a.b/1")]).withColumn("record_id", same)
+    other = batch(spark, f"{tmp_path}/b3", [claim("c", url="a.b/2")]).withColumn("record_id", same)
+    for rows in (one, again):
+        load_star(spark, root, rows, loaded_at=STAMP, fan=2)
+    assert [r["level"] for r in read_log(spark, root).live] == [1], "a claim that changed is no clash"
+    load_star(spark, root, other, loaded_at=STAMP, fan=0)
+    with pytest.raises(ValueError, match="a.b/[12].*a.b/[12]"):
+        compact(spark, root, STAMP)
+    assert len(read_log(spark, root).live) == 2
+
+
 def test_the_log_is_read_from_few_files(spark, tmp_path):
     root, every = str(tmp_path / "star"), 5
     names = [f"run{n:03}" for n in range(32)]
