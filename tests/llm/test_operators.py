@@ -74,6 +74,41 @@ def test_encoder_on_texts_longer_than_a_stretch(monkeypatch):
     assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_runs_the_library_on_many_new_words_at_once():
+    import random
+    import sys
+
+    drawn, encoder, calls = random.Random(5), bitpack.Encoder(tokenizer()), []
+    texts = [" ".join("".join(drawn.choices("abcdefgéüß", k=9)) + drawn.choice(["", ",", "'s", "%%"]) for _ in range(100)) for _ in range(40)]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    sys.setprofile(lambda _, event, called: event == "c_call" and called.__name__ in ("tokenize", "encode_batch_fast", "encode_batch") and calls.append(called))
+    try:
+        got = [encoder(t).tolist() for t in texts]
+    finally:
+        sys.setprofile(None)
+    assert got == want
+    assert 0 < len(calls) <= 2 * len(texts)  # of 4,000 new words
+
+
+def test_encoder_on_texts_together(monkeypatch):
+    monkeypatch.setattr(bitpack, "REMEMBERED", 300)
+    encoder = bitpack.Encoder(tokenizer())
+    shapes = ["x {0}y", "{0}", "x a{0}b 'tis", "x {0}{0}1'll", "\n{0}'s", " {0}\n", "{0}  {0}"]
+    texts = [s.format(chr(c)) for s in shapes for c in (*range(0x250), *range(0x2000, 0x2070), 0x416, 0x4E16, 0x1F642)]
+    texts += ["", "\n", " ", "\n\n", "<|endoftext|>", prose(3, 400)]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(bitpack, "STRETCH", 1000)
+    assert [ids.tolist() for ids in encoder.each(texts)] == want
+
+
+def test_crc32_of_joined_stretches():
+    import zlib
+
+    for n in (0, 1, 3, 4, 255, 70_000):
+        a, b = bytes(range(200)), bytes(k % 251 for k in range(n))
+        assert bitpack.joined_crc32(zlib.crc32(a), zlib.crc32(b), n) == zlib.crc32(a + b)
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json"])
 def test_other_tokenizers_encode_whole_texts(name):
     import public_tokenizers
